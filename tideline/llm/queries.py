@@ -54,10 +54,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.rlz_dedup import remove_duplicates
+
+    return remove_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op2_url_filter": op2_url_filter,
     "op3_media_columns": op3_media_columns,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}
