@@ -66,6 +66,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.order_minhash import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_url_filter": op2_url_filter,
     "op3_media_columns": op3_media_columns,
@@ -73,5 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_order_minhash": op10_order_minhash,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}
