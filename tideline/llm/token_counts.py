@@ -159,8 +159,8 @@ Edit = tuple[int, int, str]
 def default_edits(text: str) -> list[Edit]:
     """Three edits that any text allows: an insertion at a third, a deletion in the middle, a replacement near the end."""
     n = len(text)
-    cut = min(40, n // 4)
-    return [(n // 3, 0, " (revised 2024) "), (n // 2, cut, ""), (n - n // 10 - cut + 16 if n > 64 else 0, min(8, n // 8), "Annex B")]
+    note, cut, swap = " (revised 2024) ", min(40, n // 4), min(8, n // 8)
+    return [(n // 3, 0, note), (n // 2, cut, ""), (n + len(note) - cut - swap - n // 10, swap, "Annex B")]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, edits: Callable[[str], list[Edit]] = default_edits, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
