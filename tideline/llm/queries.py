@@ -17,6 +17,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.jaccard_join import ngram_jaccard_join
+
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.url_filter import filter_urls
 
@@ -79,6 +85,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filter": op2_url_filter,
     "op3_media_columns": op3_media_columns,
     "op4_suffix_dedup": op4_suffix_dedup,
