@@ -115,13 +115,41 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     order. Sources without words have target 0. Ids should be distinct; rows with equal ids count each for itself. An
     empty table gives an empty one.
     """
-    sized = stored(sizes(docs, id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id()), "sizes")
-    plan = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
+    return _mixed(sizes(docs, id_col, text_col, source_col), weights, share, cap, block)
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, text_col: str = "text") -> DataFrame:
+    """The mix itself: docs's rows as often as the mix takes them, the last time in part if it needs only their first words.
+
+    Columns are those of docs; n_chars follows the text, if there is one. Words of a text taken in part are joined by
+    single spaces. Rows that the mix doesn't take are left out.
+    """
+    found = _mixed(_with_rest(docs), weights, share, cap, block, carried=["rest"])
+    text = F.col(f"rest.{text_col}")
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    turns = found.where("taken > 0").withColumn("turn", F.explode(F.sequence(F.lit(1), times)))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("turn") - 1) * F.col("size"))
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), F.lit(1), words.cast("int")), " ")
+    cut = turns.withColumn("cut", F.when(words == F.col("size"), text).otherwise(part))
+    named = [F.col("cut").alias(c) if c == text_col else F.char_length("cut").cast("long").alias(c) if c == "n_chars" else F.col(f"rest.{c}").alias(c) for c in docs.columns]
+    return cut.select(*named)
+
+
+def _with_rest(docs: DataFrame) -> DataFrame:
+    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.struct("*").alias("rest"))
+
+
+def _mixed(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, block: int, carried: list[str] | None = None) -> DataFrame:
+    """carried: columns of sized that go along to the result; they move once, by row."""
+    sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    light = sized.select("doc_id", "source", "size", "row")
+    plan = stored(targets(light.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
     slots = schedule(plan, block)
     # A block is used once or a few times; equal uses of a block are one row with their number.
     uses = slots.groupBy("key", "block", "begin", "end").agg(F.count("*").alias("uses"))
     per = plan.select(_key().alias("key"), "source_size", "target", F.greatest(F.lit(1), F.round(F.col("source_size") / block)).cast("long").alias("blocks"))
-    placed = streams(sized, sized.count()).join(F.broadcast(per), "key")
+    placed = streams(light, sized.count()).join(F.broadcast(per), "key")
     first = F.floor(F.col("at") * F.col("blocks") / F.col("source_size"))
     last = F.floor((F.col("at") + F.col("size") - 1) * F.col("blocks") / F.col("source_size"))
     # Block b begins at floor(b * size / blocks): one more block at either side allows for that rounding.
@@ -129,4 +157,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     overlap = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), F.col("end")) - F.greatest("at", "begin"))
     taken = pieces.join(uses, ["key", "block"]).groupBy("row").agg(F.sum(overlap * F.col("uses")).cast("long").alias("taken"))
     out = sized.withColumn("key", _key()).join(F.broadcast(per), "key").join(taken, "row", "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *(carried or []))

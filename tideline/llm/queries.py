@@ -46,6 +46,12 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_features(store_texts(table(spark, sf_dir, "documents")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,15 +90,23 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filter": op2_url_filter,
     "op3_media_columns": op3_media_columns,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_order_minhash": op10_order_minhash,
+    "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}

@@ -101,16 +101,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """docs with the repeats cut from its texts; its columns as they were, rows that lose all their text left out.
+    """docs with the repeats cut from its texts; rows that lose all their text are left out.
 
-    Bytes of a cut UTF-8 sequence are dropped. A text that was null or empty before stays as an empty one.
+    Columns are those of docs; n_chars follows the text, if there is one. Bytes of a cut UTF-8 sequence are dropped. A
+    text that was null or empty before stays as an empty one.
     """
-    rest = [c for c in docs.columns if c != text_col]
     out = remove_repeats(docs, window, id_col=id_col, text_col=text_col).where("n_removed < n_bytes or n_bytes = 0")
-    decode = F.pandas_udf(_decode, "string")
-    named = [F.col(f"rest.{c}").alias(c) if c != text_col else decode("kept").alias(text_col) for c in docs.columns]
-    assert len(rest) == len(docs.columns) - 1
-    return out.select(*named)
+    cut = out.select("rest", F.pandas_udf(_decode, "string")("kept").alias("cut"))
+    named = [F.col("cut").alias(c) if c == text_col else F.char_length("cut").cast("long").alias(c) if c == "n_chars" else F.col(f"rest.{c}").alias(c) for c in docs.columns]
+    return cut.select(*named)
 
 
 def _decode(kept):  # noqa: ANN001, ANN202 - a pandas series of bytes
