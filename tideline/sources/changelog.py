@@ -10,9 +10,23 @@ from pyspark.sql import types as T
 
 from tideline.functions.coordinates import log_number
 
-SCHEMA = T.StructType.fromDDL(
-    "event_id long, batch_id long, source string, schema_name string, table_name string, op string, binlog_name string, "
-    "binlog_seq int, binlog_pos long, event_time long, after string, before string, ddl string"
+_TEXT, _LONG = T.StringType(), T.LongType()
+SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", _LONG),
+        T.StructField("batch_id", _LONG),
+        T.StructField("source", _TEXT),
+        T.StructField("schema_name", _TEXT),
+        T.StructField("table_name", _TEXT),
+        T.StructField("op", _TEXT),  # insert, update, delete or ddl
+        T.StructField("binlog_name", _TEXT),
+        T.StructField("binlog_seq", T.IntegerType()),
+        T.StructField("binlog_pos", _LONG),
+        T.StructField("event_time", _LONG),  # epoch seconds
+        T.StructField("after", _TEXT),  # JSON
+        T.StructField("before", _TEXT),
+        T.StructField("ddl", _TEXT),
+    ]
 )
 
 
