@@ -49,8 +49,9 @@ class Counter:
         except KeyError:
             if len(known) > REMEMBERED:
                 known.clear()
-            for p in set(pieces) - known.keys():
-                known[p] = len(self._encode(p))
+            for p in set(pieces):
+                if p not in known:
+                    known[p] = len(self._encode(p))
             return [known[p] for p in pieces]
 
 
