@@ -12,8 +12,6 @@ ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
 
-DATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark() -> Iterator[SparkSession]:
