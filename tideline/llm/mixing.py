@@ -49,8 +49,9 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: floa
     behind = by_level.rowsBetween(0, Window.unboundedFollowing)
     # With the sources before this one full, the rest by weight: this one fills up if its own level is below that.
     rest = F.sum("source_size").over(Window.partitionBy()) * float(share) - F.coalesce(F.sum("full").over(before), F.lit(0.0))
-    levelled = weighed.withColumn("rest", rest / F.sum("weight").over(behind))
-    level = F.min(F.when(F.col("level") > F.col("rest"), F.struct("level", "rest"))).over(Window.partitionBy())["rest"]
+    turn = F.row_number().over(by_level)  # of sources with one level, the first in order decides
+    levelled = weighed.withColumn("rest", rest / F.sum("weight").over(behind)).withColumn("turn", turn)
+    level = F.min(F.when(F.col("level") > F.col("rest"), F.struct("turn", "rest"))).over(Window.partitionBy())["rest"]
     filled = levelled.withColumn("target", F.when(level.isNull(), F.col("full")).otherwise(F.least(F.col("full"), F.col("weight") * level)))
     return filled.select("source", "source_size", "weight", "target", F.coalesce(F.sum("target").over(names), F.lit(0.0)).alias("upto"))
 
