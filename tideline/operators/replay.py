@@ -19,7 +19,7 @@ def fold(changes: DataFrame, key: list[str], columns: list[str], base: DataFrame
     """
     events = changes.where(_all_set(key))
     turn = F.when(F.col(op) != "update", F.col(order))
-    folded = events.groupBy(*key).agg(F.max_by(op, turn).alias("_last"), F.max_by(F.struct(*columns), order).alias("_row"))
+    folded = events.groupBy(*key).agg(F.max_by(op, turn).alias("_last"), F.max_by(F.struct(*(columns or [order])), order).alias("_row"))
     rows = [F.col(f"_row.{c}").alias(c) for c in columns]
     if base is None:
         return folded.where("_last = 'insert'").select(*key, *rows)

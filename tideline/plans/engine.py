@@ -169,9 +169,9 @@ class Replica:
         touched = [(r.schema_name, r.table_name, r.destination) for r in kept.where("op <> 'ddl'").select("schema_name", "table_name", "destination").distinct().collect()]
         statements = kept.where("op = 'ddl'").select("event_id", "schema_name", "destination", "ddl").orderBy("event_id").collect()  # DDL is rare and applied on the driver
         stops = [*(s.event_id for s in statements), None]
-        begin = -1
+        begin = None
         for stop, statement in zip(stops, [*statements, None], strict=True):
-            epoch = kept.where((F.col("event_id") > begin) & (F.lit(True) if stop is None else F.col("event_id") < stop))
+            epoch = kept.where((F.lit(True) if begin is None else F.col("event_id") > begin) & (F.lit(True) if stop is None else F.col("event_id") < stop))
             for schema, table, destination in touched:
                 replayed += self._table(name, epoch, schema, table, destination, batch_id, on_error)
             if statement is not None:
@@ -210,26 +210,28 @@ class Replica:
         bad = image(F.col("after"), rows)
         typed = events.withColumn("_a", bad).withColumn("_b", image(F.col("before"), rows))
         values = [c for c in rows.names if c not in key]
-        flat = typed.select("event_id", "op", *(F.col(f"_a.`{c}`").alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
-        events_of = replay.split_key_changes(flat, key, [f"_before_{k}" for k in key]).drop(*(f"_before_{k}" for k in key)).persist()
+        at, op = "_event_", "_kind_"  # tables may have columns of the log's names
+        flat = typed.select(F.col("event_id").alias(at), F.col("op").alias(op), *(F.col(f"_a.`{c}`").alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
+        events_of = replay.split_key_changes(flat, key, [f"_before_{k}" for k in key], op, at).drop(*(f"_before_{k}" for k in key)).persist()
         try:
-            n = events_of.where("op <> 'insert' or event_id % 2 = 0").count()
+            whole = f"{op} <> 'insert' or {at} % 2 = 0"  # the second half of a key change isn't counted
+            n = events_of.where(whole).count()
             if not n:
                 return 0
             table_of = events_of.withColumn("_table", F.lit(table))
-            clash = replay.conflicts(table_of, ["_table", *key], base.select(*key).withColumn("_table", F.lit(table)))
-            first = clash.agg(F.min("event_id")).first()[0]
+            clash = replay.conflicts(table_of, ["_table", *key], base.select(*key).withColumn("_table", F.lit(table)), op, at)
+            first = clash.agg(F.min(at)).first()[0]
             if first is not None:
-                log_rows = replay.errors(clash, ["_table"], key)
-                self._put("error_log", log_rows.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(name).alias("source"), F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "pkey", F.floor(F.col("event_id") / 2).cast("long").alias("event_id"), "message"))
+                log_rows = replay.errors(clash, ["_table"], key, at)
+                self._put("error_log", log_rows.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(name).alias("source"), F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "pkey", F.floor(F.col(at) / 2).cast("long").alias("event_id"), "message"))
                 if on_error == "exit":
                     self._set(name, status="error")
                     raise RuntimeError(f"replay of {full} failed at event {first // 2}")
                 self._put("replica_tables", [(name, schema, table, destination, key, known.binlog_seq, known.binlog_pos, False)])
-                events_of = events_of.where(F.col("event_id") < first)
-                n = events_of.where("op <> 'insert' or event_id % 2 = 0").count()
+                events_of = events_of.where(F.col(at) < first)
+                n = events_of.where(whole).count()
             info = self.store.info(full) | {"batch_id": batch_id}
-            self.store.write(full, replay.fold(events_of, key, values or key[:1], base).select(*rows.names), info)
+            self.store.write(full, replay.fold(events_of, key, values, base, op, at).select(*rows.names), info)
             return n
         finally:
             events_of.unpersist()

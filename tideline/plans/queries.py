@@ -15,8 +15,11 @@ from pyspark.sql.types import StructType
 from tideline.functions import coordinates, types
 from tideline.operators import batches, replay, reports, routing, tables
 from tideline.plans import evolve
+from tideline.plans.engine import Replica
+from tideline.plans.store import work_folder
 from tideline.sources import changelog, ddl
-from tideline.sources.config import Source, TableRules
+from tideline.sources.config import Config, Source, TableRules
+from tideline.streaming.replication import start_replica
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -498,6 +501,63 @@ def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.numbered(_read(spark, sf_dir, "events").select("event_id"), 750)
 
 
+STREAMED = ("orders", "items", "people")
+
+
+def _replica(spark: SparkSession, sf_dir: str, statements: bool) -> tuple[Replica, str]:
+    """A replica whose tables are empty and whose log holds all events, in files by time."""
+    folder = work_folder(spark, "replica")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}), f"{folder}/store")
+    replica.create_schema()
+    replica.add_source("all")
+    empty = spark.createDataFrame([], "user_id long, event_id long, value double")
+    empty.write.parquet(f"{folder}/empty")
+    replica.init_replica("all", {f"shop.{t}": f"{folder}/empty" for t in STREAMED}, {f"shop.{t}": ["user_id"] for t in STREAMED}, (0, 0))
+    image = F.to_json(F.struct("user_id", "event_id", "value"))
+    log = _log(spark, sf_dir).select("event_id", "batch_id", F.lit("all").alias("source"), F.lit("shop").alias("schema_name"), "table_name", "op", F.lit(None).cast("string").alias("binlog_name"), "binlog_seq", "binlog_pos", "event_time", image.alias("after"), image.alias("before"), F.lit(None).cast("string").alias("ddl"))
+    if statements:
+        made = [(-1, 0, "all", "shop", t, "ddl", None, 0, 0, 0, None, None, f"ALTER TABLE {t} CHANGE value amount DECIMAL(12,2), ADD COLUMN note VARCHAR(8) DEFAULT 'none'") for t in STREAMED]
+        log = log.withColumn("_v", F.from_json("after", "user_id long, event_id long, value double")).withColumn("after", F.to_json(F.struct("_v.user_id", "_v.event_id", F.col("_v.value").cast("decimal(12,2)").alias("amount"), F.lit("new").alias("note")))).drop("_v")
+        log = log.withColumn("before", F.lit(None).cast("string")).unionByName(spark.createDataFrame(made, changelog.SCHEMA))
+    log.write.parquet(f"{folder}/log")
+    return replica, folder
+
+
+def _state(replica: Replica) -> DataFrame:
+    found = [replica.store.read(f"dw.{t}").withColumn("table_name", F.lit(t)) for t in STREAMED]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+BEFORE_CLASH = CUT + """, kept AS (SELECT log.* FROM log LEFT JOIN clash USING (table_name) WHERE first IS NULL OR event_id < first),
+folded AS (SELECT table_name, user_id, arg_max(op, event_id) FILTER (op <> 'update') AS last_op, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM kept GROUP BY table_name, user_id)
+"""
+
+
+@query(BEFORE_CLASH + "SELECT table_name, user_id, event_id, value FROM folded WHERE last_op = 'insert'")
+def stream_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1-ST10, ER1-ER3, SC1, SK4, SK9: snapshot, then the log as a stream into the store; a table stops at its first conflict."""
+    replica, folder = _replica(spark, sf_dir, False)
+    start_replica(replica, "all", f"{folder}/log", f"{folder}/checkpoint", once=True).awaitTermination()
+    return _state(replica)
+
+
+@query(BEFORE_CLASH + "SELECT table_name, user_id, event_id, CAST(value AS DECIMAL(12, 2)) AS amount, 'new' AS note FROM folded WHERE last_op = 'insert'")
+def ddl_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DG5-DG8, H8, SK7: the same with statements in the log that change the tables first."""
+    replica, folder = _replica(spark, sf_dir, True)
+    replica.replay_batch("all", changelog.read_log(spark, f"{folder}/log"), 0)
+    return _state(replica)
+
+
+@query(CUT + """SELECT table_name, c.first AS event_id, 'disabled' AS state FROM clash c""")
+def disabled_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ER2, ER3, CT10: tables that the replay disabled, and the event that did it."""
+    replica, folder = _replica(spark, sf_dir, False)
+    replica.replay_batch("all", changelog.read_log(spark, f"{folder}/log"), 0)
+    off = replica.catalog("replica_tables").where("not enabled").select("table_name")
+    return replica.show_errors().join(off, "table_name").select("table_name", "event_id", F.lit("disabled").alias("state"))
+
+
 #: Statements of every production and the kind, table and detail that the parser must give.
 STATEMENTS = [
     ("CREATE TABLE `t 1` (id INT(10) UNSIGNED NOT NULL AUTO_INCREMENT, v VARCHAR(45), PRIMARY KEY (id), KEY ix (v(10)))", "CreateTable", "t 1", "id"),

@@ -7,6 +7,7 @@ write. One writer at a time, as one replica has.
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from typing import Any
 
@@ -14,6 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors see: below spark.checkpoint.dir, or a temporary one in local runs."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tideline-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 class Store:
     """Tables below a root that Spark's file systems can reach."""
 
