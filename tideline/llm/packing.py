@@ -10,6 +10,8 @@ the windows that its last pieces leave open.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,36 +26,54 @@ from pyspark.sql.types import StructType
 from tideline.llm.common import to_batch
 
 WINDOW, END_ID = 2048, 1
-#: Distinct words whose ids a worker remembers; beyond, the table starts anew.
-REMEMBERED = 400_000
+#: Distinct pre-tokens whose ids a worker remembers; beyond, the table starts anew.
+REMEMBERED = 800_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: The pre-tokenizer's pattern that the quick way stands for; a vocabulary with another is encoded as a whole.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-cased texts of Latin letters, and what keeps a text from that.
+QUICK = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+OTHER = re.compile("[^\t\n\v\f\r\x20-\x7e\xa0-\u024f]|[\xb2\xb3\xb9\xbc-\xbe]|<\\|")
+
+
 class Words:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, pre-token by pre-token.
 
-    The vocabulary's pre-tokenizer drops white space and never joins what it parts, so a text's ids are its
-    words' ids in turn; ASCII white space is enough to part it.
+    A pre-token's ids depend on nothing else, so they are remembered. Texts of Latin letters are in normal form as they
+    are, and Python's own lower case and pattern part them as the vocabulary's would; other texts, and those that may
+    hold a special token, go through the tokenizer whole.
     """
 
     def __init__(self, vocabulary: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._known: dict[bytes, bytes] = {}
+        steps = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
+        self._quick = [s["pattern"]["Regex"] for s in steps if s["type"] == "Split"] == [PATTERN]
+        self._letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words, known = text.encode("utf-8").split(), self._known
+        if not self._quick or OTHER.search(text):
+            return _bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        pieces, known = QUICK.findall(text.lower()), self._known
         try:
-            return b"".join([known[w] for w in words])
+            return b"".join([known[p] for p in pieces])
         except KeyError:
             if len(known) > REMEMBERED:
                 known.clear()
-            new = list(set(words) - known.keys())
-            for word, made in zip(new, self._tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False), strict=True):
-                known[word] = b"".join(i.to_bytes(4, "little") for i in made.ids)
-            return b"".join([known[w] for w in words])
+            for piece in set(pieces):
+                if piece not in known:
+                    letters = piece if piece.isascii() else self._letters(piece)[0][0]
+                    known[piece] = _bytes([t.id for t in self._tokenizer.model.tokenize(letters)])
+            return b"".join([known[p] for p in pieces])
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
 class Capacities:
