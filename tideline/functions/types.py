@@ -122,6 +122,12 @@ def no_zero_date(value: Column, kind: str = "timestamp_ntz") -> Column:
     return text.try_cast(kind)
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 of a timestamp without time zone, whatever the session's zone."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
 def no_nul(value: Column) -> Column:
     """SK5: a text without NUL characters."""
     return F.replace(value, F.lit("\0"), F.lit(""))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.types import epoch_seconds
+
 
 def status(sources: DataFrame, received: DataFrame, replayed: DataFrame, now: str | None = None) -> DataFrame:
     """JN3, ST8: each source with read_lag (now - last received) and replay_lag (received - replayed) in seconds, null if never.
@@ -13,7 +15,7 @@ def status(sources: DataFrame, received: DataFrame, replayed: DataFrame, now: st
     """
     at = F.to_timestamp_ntz(F.lit(now)) if now else F.current_timestamp().cast("timestamp_ntz")
     joined = sources.join(received.select("source", F.col("ts").alias("received")), "source", "left").join(replayed.select("source", F.col("ts").alias("replayed")), "source", "left")
-    seconds = lambda a, b: F.timestamp_diff("SECOND", b, a)
+    seconds = lambda a, b: epoch_seconds(a) - epoch_seconds(b)
     return joined.withColumn("read_lag", seconds(at, F.col("received"))).withColumn("replay_lag", seconds(F.col("received"), F.col("replayed")))
 
 

@@ -41,7 +41,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    return types.epoch_seconds(ts.cast("timestamp_ntz"))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
