@@ -19,7 +19,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see: below spark.checkpoint.dir, or a temporary one in local runs."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="tideline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
