@@ -79,12 +79,12 @@ def as_text(prints: Column) -> Column:
     return F.array_join(F.transform(prints, lambda h: F.coalesce(F.lower(F.hex(h)), F.lit("-"))), ".")
 
 
-def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id") -> DataFrame:
+def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id", tie: str = "text") -> DataFrame:
     """docs with ``next``, a struct of the carried columns of the document with the next smaller id; the last one gets the first's.
 
     Ids are cut into buckets at quantiles; a bucket's rows are ordered in one task. Each bucket's last row looks to
     the first of the next bucket, which is sent to both. Bounds and first ids are a value for each bucket; about
-    BUCKET rows make one. Rows with equal ids follow each other in an order by content; null ids come last.
+    BUCKET rows make one. Rows with equal ids follow each other in an order by a hash of ``tie``; null ids come last.
     """
     n = docs.count()
     order = F.coalesce(F.col(id_col), F.lit(-(1 << 63)))
@@ -94,15 +94,14 @@ def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id") -> Da
     bounds = [int(c) for c in cuts]
     bucket = F.expr(f"aggregate(array({', '.join(f'{b}L' for b in bounds)}), 0, (a, b) -> a + int(b <= `order`))") if len(bounds) < 16 else _searched(bounds)
     placed = keyed.withColumn("bucket", bucket)
-    content = F.xxhash64(*carried)
+    content = F.xxhash64(tie)
     firsts = placed.groupBy("bucket").agg(F.max(F.struct("order", content.alias("c"))).alias("f")).orderBy(F.desc("bucket")).collect()  # a row a bucket
-    # The bucket before b in descending order, whose last row looks to b's first one.
-    to = {r.bucket: firsts[i - 1].bucket for i, r in enumerate(firsts)}
-    sent = F.create_map(*(F.lit(x) for r in firsts for x in (f"{r.bucket}/{r.f.order}/{r.f.c}", to[r.bucket]))) if firsts else F.create_map()
-    name = F.concat_ws("/", F.col("bucket"), F.col("order"), content)
-    guest = F.element_at(sent.cast("map<string,int>"), name) if firsts else F.lit(None).cast("int")
-    dealt = placed.withColumn("guest", F.when(F.lit(True), guest))
-    both = dealt.withColumn("place", F.explode(F.expr("if(guest is null, array(struct(bucket as b, false as only)), array(struct(bucket as b, false as only), struct(guest as b, true as only)))")))
+    # In descending order a bucket's last row looks to the first of the bucket before it in this list.
+    sent = {r.bucket: (r.f.order, r.f.c, firsts[i - 1].bucket) for i, r in enumerate(firsts)}
+    listed = [sent.get(b) for b in range(len(bounds) + 1)]
+    at = lambda k: F.get(F.array(*(F.lit(x and x[k]).cast("long") for x in listed)), F.col("bucket"))
+    guest = F.when((at(0) == F.col("order")) & (at(1) == content), at(2).cast("int"))
+    both = placed.withColumn("guest", guest).withColumn("place", F.explode(F.expr("if(guest is null, array(struct(bucket as b, false as only)), array(struct(bucket as b, false as only), struct(guest as b, true as only)))")))
     window = Window.partitionBy("place.b").orderBy(F.col("place.only"), F.desc("order"), F.desc(content))
     return both.withColumn("next", F.lead(F.struct(*carried)).over(window)).where("not place.only").drop("order", "bucket", "guest", "place")
 
