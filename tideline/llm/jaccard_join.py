@@ -263,10 +263,14 @@ def _coarse_links(classes: DataFrame, num: int, den: int) -> DataFrame:
         labels = np.where(crossed, table.column("part").to_numpy(), -1)
         forest = Forest(groups, table.column("n_shingles").to_numpy(), maps, table.column("sampled").to_numpy(), labels)
         names, number = np.unique(ids, return_inverse=True)
-        union, out = Union(len(names)), []
+        union = Union(len(names))
         for a, b in forest.pairs(num, den):
-            out += [(names[x], names[y]) for x, y in zip(number[a].tolist(), number[b].tolist(), strict=True) if union.join(x, y)]
-        return list(zip(*out, strict=True)) if out else [[], []]
+            for x, y in zip(number[a].tolist(), number[b].tolist(), strict=True):
+                union.join(x, y)
+        # Each to the least of its component here: tasks that see one group in different blocks give the same links.
+        root = np.array([union.find(x) for x in range(len(names))], np.int64)
+        far = np.flatnonzero(root != np.arange(len(names)))
+        return [names[far], names[root[far]]]
 
     return _grouped(met, ["block", "i", "j"], made, "a long, b long")
 
