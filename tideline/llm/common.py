@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+#: Rows whose texts a Python worker holds as objects at a time.
+SLICE = 1000
 #: The word pattern of the contracts, as Java and Python regular expressions read it.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -55,13 +59,30 @@ def by_columns(df: DataFrame, made: Callable[..., Sequence[Sequence]], schema: s
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield to_batch(made(*(c.to_pylist() for c in batch.columns)), fields)
+        for batch in slices(batches):
+            yield to_batch(made(*(c.to_pylist() for c in batch.columns)), fields)
 
     return df.mapInArrow(rows, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of up to ``rows`` rows, so that few texts are Python objects at a time.
+
+    At the end of the task what it used goes back to the system: workers are used again, for other operators too.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    release()
+
+
+def release() -> None:
+    """Unused memory of this worker, back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def to_batch(columns: Sequence[Sequence], fields: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type, from_pandas=False) for c, f in zip(columns, fields, strict=True)], schema=fields)
 

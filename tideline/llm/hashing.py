@@ -55,7 +55,7 @@ class Ranges:
         return mix((self._sums[stop] - self._sums[start]) * self._down[start] + mix(size + np.uint64(1)))
 
 
-def chunks(texts: Sequence[bytes], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def chunks(texts: Sequence[bytes], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes; a longer text is a range of its own and whole."""
     begin = total = 0
     for i, t in enumerate(texts):

@@ -11,7 +11,7 @@ are one class, so copies never meet. Trees find the links between classes:
    the range of their sizes. A dual traversal from the root with itself drops
    each pair of nodes whose greatest possible overlap is below what the
    threshold needs. What is left links classes into clusters, a superset of
-   all true links, of which only a spanning forest is kept.
+   all true links, of which each task keeps stars around its components' least members.
 3. Fine trees. Each cluster's texts meet once, in trees with bitmaps of all
    tokens; pairs that the traversal leaves are compared set by set. Pairs that
    are connected already are skipped, as components are the result.
@@ -37,13 +37,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns, stored, texts, to_batch
+from tideline.llm.common import by_columns, release, stored, texts, to_batch
 from tideline.llm.components import components
 from tideline.llm.substrings import squeezed
 
 FANOUT = 8
 COARSE_BITS, FINE_BITS, SAMPLE = 512, 8192, 4
 PARTS_CAP, BLOCK_CAP = 128, 512
+FEW_TEXTS = 300
 FEW = 100_000  # rows that may be broadcast; more are joined by a shuffle
 MISS = 1e-11
 
@@ -54,6 +55,13 @@ def bands_for(threshold: float, rows: int = 2) -> int:
 
 def shingles(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram hashes of each text, sorted, and the first of each text (and of one more). A-Z are lower-cased."""
+    parts = [_shingles(raw[a:b], n) for a, b in hashing.chunks(raw)]
+    counts = [np.diff(first) for _, first in parts]
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *(t for t, _ in parts)]), np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts]))])
+
+
+def _shingles(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     words, bounds = hashing.words(raw, lower=True)
     counts = np.diff(bounds)
     grams = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
@@ -221,6 +229,7 @@ def _grouped(rows: DataFrame, keys: list[str], made: Callable[[pa.Table], list],
                 held = held.slice(cut)
         if held is not None and held.num_rows:
             yield to_batch(made(held), fields)
+        release()
 
     return dealt.mapInArrow(run, schema)
 
@@ -242,7 +251,7 @@ def _met(rows: DataFrame, by: str, count: str, member: str, cap: int) -> DataFra
 
 
 def _coarse_links(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """A spanning forest (a, b) of the pairs of classes that the coarse trees can't rule out."""
+    """Links (a, b) that connect what the pairs of classes do that the coarse trees can't rule out: stars in each task."""
     keyed = classes.select("doc_id", "n_shingles", "map", "sampled", F.posexplode("keys").alias("band", "key")).withColumn("block", F.xxhash64("band", "key")).drop("band", "key")
     counts = stored(keyed.groupBy("block").agg(F.count("*").alias("members")).where("members > 1"), "blocks")
     large = counts.where(f"members > {BLOCK_CAP}")
@@ -287,8 +296,8 @@ def _fine(rows: DataFrame, keys: list[str], n: int, num: int, den: int) -> DataF
         out = []
         at = np.flatnonzero(~lone)
         begin = 0
-        while begin < len(at):  # whole groups, up to about a thousand texts at a time
-            end = int(np.searchsorted(groups[at], groups[at[min(begin + 1000, len(at) - 1)]], "right")) if begin + 1000 < len(at) else len(at)
+        while begin < len(at):  # whole groups, up to about FEW_TEXTS at a time
+            end = int(np.searchsorted(groups[at], groups[at[begin + FEW_TEXTS]], "right")) if begin + FEW_TEXTS < len(at) else len(at)
             rows = at[begin:end]
             begin = end
             tokens, first = shingles([press.decompress(pressed[r]) for r in rows], n)

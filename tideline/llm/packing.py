@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tideline.llm.common import to_batch
+from tideline.llm.common import slices, to_batch
 
 WINDOW, END_ID = 2048, 1
 #: Distinct pre-tokens whose ids a worker remembers; beyond, the table starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -143,7 +143,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pieces = words_of(vocabulary), []
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             for ident, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = words.ids(text or "") + end
                 n = len(ids) // 4

@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns, stored, to_batch
+from tideline.llm.common import by_columns, slices, stored, to_batch
 
 LAST = (1 << 63) - 1
 
@@ -65,11 +65,6 @@ class Method:
     solve: Solver
     group_cap: int = 64
 
-    @property
-    def size(self) -> int:
-        """Bytes of a symbol in a context."""
-        return 8 if self.words else 1
-
     def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols for hashing, the first of each text, and the symbols as contexts hold them."""
         if self.words:
@@ -86,7 +81,7 @@ def squeezed(docs: DataFrame, text: Column, names: list[str]) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches):
             column = pa.array([press.compress(t.encode()) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=batch.schema.names)
 
@@ -113,7 +108,7 @@ def _anchors(docs: DataFrame, method: Method) -> DataFrame:
 
 def _cut(needed: DataFrame, method: Method) -> DataFrame:
     """Of each text the contexts asked for: whole, or window by window where their group is large."""
-    window, size = method.window, method.size
+    window = method.window
 
     def made(rows: list, orders: list, texts: list, wanted: list) -> list:
         press, out = zstandard.ZstdDecompressor(), []
@@ -134,7 +129,6 @@ def _cut(needed: DataFrame, method: Method) -> DataFrame:
                         out.append((w["gram"], None, rows[i], orders[i], w["start"], n, w["alone"], kept[at : at + n + window - 1].tobytes()))
         return list(zip(*out, strict=True)) if out else [[]] * 8
 
-    assert size in (1, 8)
     return by_columns(needed, made, "gram long, whole long, row long, ord long, start int, windows int, alone boolean, data binary")
 
 
@@ -148,7 +142,7 @@ def _solved(cut: DataFrame, method: Method) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[Context] = []
         now = None
-        for batch in batches:
+        for batch in slices(batches, 10_000):
             out = []
             for gram, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if gram != now:
@@ -224,10 +218,9 @@ def with_removed(docs: DataFrame, method: Method, id_col: str, text_col: str, re
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for batch in batches:
-            if batch.num_rows:
-                made = [remove(press.decompress(z), s) for z, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), fields, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["rest", *fields.names])
+        for batch in slices(batches):
+            made = [remove(press.decompress(z), s) for z, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["rest", *fields.names])
 
     return whole.mapInArrow(rows, schema)

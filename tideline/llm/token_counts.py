@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import by_columns, columns_of
 
 #: Distinct pre-tokens whose counts a worker remembers; beyond, the table starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 class Counter:
