@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns
+from tideline.llm.common import by_columns, release, slices
 
 TERMS, RANK, NEIGHBOURS, SAMPLE, SHARPNESS = 2048, 48, 25, 1500, 8
 
@@ -66,8 +66,7 @@ class Model:
             return cls(np.zeros(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, np.zeros(0), 0.5)
         idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
         weighed = _weighed(counts, idf)
-        _, vectors = np.linalg.eigh(weighed.T.astype(np.float64) @ weighed.astype(np.float64))
-        axes = vectors[:, ::-1][:, :rank].astype(np.float32)
+        axes = _axes(weighed, rank)
         seen = np.bincount(labels, minlength=2)
         weights = np.array([totals[k] / max(1, seen[k]) for k in labels])
         return cls(idf, axes, _unit(weighed @ axes), labels, weights, totals[1] / max(1, sum(totals)))
@@ -89,13 +88,28 @@ class Model:
         return np.clip(out, 0, 1)
 
 
+def _axes(weighed: np.ndarray, rank: int, rounds: int = 12) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: unlike a full decomposition it needs next to no memory."""
+    start = np.random.default_rng(5).standard_normal((weighed.shape[1], min(rank + 16, *weighed.shape)))
+    space, _ = np.linalg.qr(start.astype(np.float32))
+    for _ in range(rounds):
+        space, _ = np.linalg.qr(weighed.T @ (weighed @ space))
+    seen = (weighed @ space).astype(np.float64)
+    _, turns = np.linalg.eigh(seen.T @ seen)
+    return space @ turns[:, ::-1][:, :rank].astype(np.float32)
+
+
 def _weighed(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return _unit(np.log1p(counts) * idf)
+    made = np.log1p(counts)
+    made *= idf
+    return _unit(made)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    size = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    return (x / np.where(size > 0, size, 1)).astype(np.float32)
+    """x with rows of length 1 (or 0), in place."""
+    size = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    x /= np.where(size > 0, size, 1)
+    return x
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -120,8 +134,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
         return [ids, given, [c.tobytes() for c in counts]]
 
     got = by_columns(found.select("doc_id", "text", "label"), made, "doc_id long, label int, counts binary").groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by("counts", "counts").alias("counts")).orderBy("doc_id").collect()
-    counts = np.array([np.frombuffer(r.counts, np.uint16) for r in got], np.float32).reshape(-1, TERMS)
-    return Model.fit(counts, np.array([r.label for r in got], np.int64), (totals.get(0, 0), totals.get(1, 0)))
+    counts = np.zeros((len(got), TERMS), np.float32)
+    for row, r in zip(counts, got, strict=True):
+        row[:] = np.frombuffer(r.counts, np.uint16)
+    given = np.array([r.label for r in got], np.int64)
+    del got
+    model = Model.fit(counts, given, (totals.get(0, 0), totals.get(1, 0)))
+    del counts
+    release()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -132,7 +153,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [t.encode() for t in batch.column(batch.num_columns - 1).to_pylist()]
             parts = [shared.value.scores(term_counts(raw[a:b])) for a, b in hashing.chunks(raw)]
             score = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
