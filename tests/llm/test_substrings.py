@@ -38,6 +38,23 @@ def test_against_brute_force(frame, monkeypatch, cap, seed):
     assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 50), key=repr)
 
 
+@pytest.mark.parametrize("cap", [64, 1])
+@pytest.mark.parametrize("seed", range(3))
+def test_copies_within_one_document(frame, monkeypatch, cap, seed):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+    p, x, y = text(60), text(100), text(100)
+    block = f"{x} {p} {y}"
+    rows = [(1, p), (2, f"{block} {text(5)} {block}"), (3, block), (4, f"{text(7)} {block} {text(7)}"), (4, f"{block} {text(9)} {block}")]
+    q, z, v = text(70), text(90), text(90)
+    rows += [(5, q), (None, f"{z} {q} {v}"), (None, f"{z} {q} {v} {text(3)} {z} {q} {v}"), (6, text(300))]
+    rng.shuffle(rows)
+    given = substrings.Method
+    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), group_cap=cap))
+    got = rlz_dedup.remove_duplicates(frame(rows)).select("rest.doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 50), key=repr)
+
+
 def test_repeated_rows_and_clashing_columns(spark):
     text = "the quick brown fox " * 20
     rows = spark.createDataFrame([(1, text, 5, "k"), (1, text, 6, "k"), (2, "short", 7, "k")], "doc_id long, text string, row int, gram string")

@@ -58,12 +58,12 @@ def _agreeing(a: bytes, b: bytes) -> int:
     return (n - (differ.bit_length() + 7) // 8) // WORD
 
 
-def solve(group: list[Context], window: int) -> Iterator[tuple[int, int, int]]:
+def solve(group: list[Context], window: int) -> Iterator[tuple[Context, int, int]]:
     """Duplicate spans of the contexts, parsed in document order against those before them."""
     reference = Reference(window)
     for context in sorted(group, key=lambda c: c.order):
         for start, length in reference.factors(context.order, context.data):
-            yield context.row, context.start + start, context.start + start + length
+            yield context, start, start + length
         reference.add(context.order, context.data)
 
 

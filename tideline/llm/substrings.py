@@ -10,7 +10,8 @@ context. The groups then fall apart:
 * all contexts equal: whole runs repeat, no symbols needed;
 * several contexts: equal contexts are settled by their hash; one of each is
   cut from its text, and the solver (a suffix array or a Lempel-Ziv parse)
-  compares the few that differ within the group;
+  compares the few that differ within the group. In ordered mode what it finds
+  holds for all copies in rows of the same ``ord``, which take its spans over;
 * groups of more than ``group_cap`` different contexts, such as the edges of a
   passage that a third of all documents have, are taken apart into single
   windows, counted with partial aggregation: exact, and no task holds a group.
@@ -47,11 +48,15 @@ class Context:
     start: int
     windows: int
     data: bytes
-    alone: bool
+    copies: int | None  # the context's hash, if it has further occurrences
 
+    @property
+    def alone(self) -> bool:
+        return self.copies is None
 
-#: Gets an anchor's contexts; gives (row, start, stop) in symbols.
-Solver = Callable[[list[Context], int], Iterator[tuple[int, int, int]]]
+
+#: Gets an anchor's contexts; gives (context, start, stop), in symbols from the context's start.
+Solver = Callable[[list[Context], int], Iterator[tuple[Context, int, int]]]
 
 
 @dataclass(frozen=True)
@@ -124,20 +129,27 @@ def _cut(needed: DataFrame, method: Method) -> DataFrame:
                         ranges = ranges or hashing.Ranges(symbols)
                         starts = np.arange(at, at + n)
                         hashes = ranges.hash(starts, starts + window).view(np.int64).tolist()
-                        out += [(w["gram"], h, rows[i], orders[i], w["start"] + k, 1, w["alone"], None) for k, h in enumerate(hashes)]
+                        out += [(w["gram"], h, rows[i], orders[i], w["start"], k, 1, w["copies"], None) for k, h in enumerate(hashes)]
                     else:
-                        out.append((w["gram"], None, rows[i], orders[i], w["start"], n, w["alone"], kept[at : at + n + window - 1].tobytes()))
-        return list(zip(*out, strict=True)) if out else [[]] * 8
+                        out.append((w["gram"], None, rows[i], orders[i], w["start"], 0, n, w["copies"], kept[at : at + n + window - 1].tobytes()))
+        return list(zip(*out, strict=True)) if out else [[]] * 9
+
+    return by_columns(needed, made, "gram long, whole long, row long, ord long, start int, offset int, windows int, copies long, data binary")
 
-    return by_columns(needed, made, "gram long, whole long, row long, ord long, start int, windows int, alone boolean, data binary")
+
+SOLVED = "gram long, copies long, row long, ord long, at int, start int, stop int"
 
 
 def _solved(cut: DataFrame, method: Method) -> DataFrame:
-    """Spans of the contexts, group by group; a task streams its groups and holds one at a time."""
-    schema = "row long, start int, stop int"
-    fields = to_arrow_schema(StructType.fromDDL(schema))
+    """Spans of the contexts, group by group, with their contexts; a task streams its groups and holds one at a time."""
+    fields = to_arrow_schema(StructType.fromDDL(SOLVED))
     n = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = cut.select("gram", "row", "ord", "start", "windows", "alone", "data").repartition(n, "gram").sortWithinPartitions("gram", "ord", "row", "start")
+    grouped = cut.select("gram", "row", "ord", "start", "windows", "copies", "data").repartition(n, "gram").sortWithinPartitions("gram", "ord", "row", "start")
+
+    def spans(group: list[Context], gram: int) -> list[tuple]:
+        if len(group) < 2:
+            return []
+        return [(gram, c.copies, c.row, c.order, c.start, c.start + start, c.start + stop) for c, start, stop in method.solve(group, method.window)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[Context] = []
@@ -146,17 +158,25 @@ def _solved(cut: DataFrame, method: Method) -> DataFrame:
             out = []
             for gram, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if gram != now:
-                    out += method.solve(group, method.window) if len(group) > 1 else ()
+                    out += spans(group, now)
                     group, now = [], gram
-                row, order, start, windows, alone, data = rest
-                group.append(Context(row, order, start, windows, data, alone))
+                row, order, start, windows, copies, data = rest
+                group.append(Context(row, order, start, windows, data, copies))
             if out:
                 yield to_batch(list(zip(*out, strict=True)), fields)
-        out = list(method.solve(group, method.window)) if len(group) > 1 else []
+        out = spans(group, now)
         if out:
             yield to_batch(list(zip(*out, strict=True)), fields)
 
-    return grouped.mapInArrow(rows, schema)
+    return grouped.mapInArrow(rows, SOLVED)
+
+
+def _taken_over(mixed: DataFrame, solved: DataFrame) -> DataFrame:
+    """Spans of a context's first occurrence, for its other occurrences in rows of the same ord: later rows lose theirs whole."""
+    moved = F.struct((F.col("start") - F.col("at")).alias("start"), (F.col("stop") - F.col("at")).alias("stop"))
+    found = solved.where("copies is not null").groupBy("gram", F.col("copies").alias("context"), "ord", F.col("row").alias("_row"), F.col("at").alias("_at")).agg(F.collect_list(moved).alias("moved"))
+    others = mixed.join(found, ["gram", "context", "ord"]).where("row <> _row or start <> _at")
+    return others.select("row", F.col("start").alias("at"), F.explode("moved").alias("m")).select("row", (F.col("at") + F.col("m.start")).alias("start"), (F.col("at") + F.col("m.stop")).alias("stop"))
 
 
 def repeated_spans(docs: DataFrame, method: Method) -> DataFrame:
@@ -180,7 +200,7 @@ def repeated_spans(docs: DataFrame, method: Method) -> DataFrame:
     equal = mixed.join(copies, ["gram", "context"]).where("first < ord" if method.ordered else "true").select(*span)
 
     sizes = contexts.groupBy("gram").agg((F.count("*") > method.group_cap).alias("large"))
-    wanted = contexts.join(sizes, "gram").select("row", F.struct("gram", "start", "windows", "large", (F.col("n") == 1).alias("alone")).alias("w"))
+    wanted = contexts.join(sizes, "gram").select("row", F.struct("gram", "start", "windows", "large", F.when(F.col("n") > 1, F.col("context")).alias("copies")).alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     needed = squeezed(docs, F.col("text"), ["row", "ord"]).join(wanted, "row").select("row", "ord", "z", "wanted")
     cut = stored(_cut(needed, method), "cut")
@@ -189,9 +209,16 @@ def repeated_spans(docs: DataFrame, method: Method) -> DataFrame:
     large = cut.where("whole is not null")
     counted = large.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
     counted = counted.where("n > 1").select("gram", "whole", "first")
-    single = large.join(counted, ["gram", "whole"]).where("first < ord" if method.ordered else "alone").select(*span)
-
-    spans = same.unionByName(equal).unionByName(small).unionByName(single)
+    single = large.join(counted, ["gram", "whole"]).where("first < ord" if method.ordered else "copies is null")
+    start = F.col("start") + F.col("offset")
+    single = single.select("gram", "copies", "row", "ord", F.col("start").alias("at"), start.alias("start"), (start + window).alias("stop"))
+
+    solved = small.unionByName(single)
+    spans = same.unionByName(equal)
+    if method.ordered:
+        solved = stored(solved, "solved")
+        spans = spans.unionByName(_taken_over(mixed, solved))
+    spans = spans.unionByName(solved.select("row", "start", "stop"))
     return spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 

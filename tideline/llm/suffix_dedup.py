@@ -67,7 +67,7 @@ def _before(texts: list[bytes], place: tuple[int, int]) -> int:
     return texts[text][at - 1] if at else -1
 
 
-def solve(group: list[Context], window: int) -> Iterator[tuple[int, int, int]]:
+def solve(group: list[Context], window: int) -> Iterator[tuple[Context, int, int]]:
     """Spans of the contexts whose windows repeat within the group."""
     marks = [np.zeros(len(c.data) + 1, np.int32) for c in group]
     for length, places in maximal_repeats([c.data for c in group], window, [c.windows for c in group]):
@@ -78,7 +78,7 @@ def solve(group: list[Context], window: int) -> Iterator[tuple[int, int, int]]:
         if context.alone and steps.any():  # the others repeat as a whole already
             edges = np.diff(np.concatenate([[0], np.cumsum(steps[:-1]) > 0, [0]]).astype(np.int8))
             for start, stop in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-                yield context.row, context.start + int(start), context.start + int(stop)
+                yield context, int(start), int(stop)
 
 
 def _removed(raw: bytes, spans: list | None) -> tuple:
