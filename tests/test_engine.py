@@ -69,6 +69,18 @@ def test_conflict_disables_the_table(spark, replica):
     assert [t.table_name for t in replica.catalog("replica_tables").where("not enabled").collect()] == ["t"]
 
 
+def test_key_changes_of_missing_rows_do_nothing(spark, replica):
+    log = spark.createDataFrame([
+        event(2, "update", "t", {"id": 7, "v": "phantom"}, {"id": 6, "v": "x"}), event(3, "update", "t", {"id": 1, "v": "no clash"}, {"id": 6, "v": "x"}),
+        event(4, "update", "t", {"id": 8, "v": "phantom"}, {"id": 7, "v": "x"}), event(5, "update", "t", {"id": 3, "v": "moved"}, {"id": 2, "v": "b"}),
+    ], SCHEMA)
+    assert replica.replay_batch("one", log, 0)["replayed"] == 4
+    assert state(replica, "dw.t") == [(1, "a"), (3, "moved")] and replica.show_errors().count() == 0
+    replica.replay_batch("one", spark.createDataFrame([event(6, "update", "t", {"id": 1, "v": "clash"}, {"id": 3, "v": "moved"})], SCHEMA), 1)
+    assert state(replica, "dw.t") == [(1, "a"), (3, "moved")]
+    assert [e.event_id for e in replica.show_errors().collect()] == [6]
+
+
 def test_stream(spark, replica, tmp_path):
     path = str(tmp_path / "log")
     spark.createDataFrame([event(2, "insert", "t", {"id": 3, "v": "c"})], SCHEMA).write.parquet(path)

@@ -70,11 +70,9 @@ def errors(clashes: DataFrame, table: list[str], key: list[str], order: str = "e
 def split_key_changes(changes: DataFrame, key: list[str], before: list[str], op: str = "op", order: str = "event_id") -> DataFrame:
     """H4: updates that change the key as a delete of the old and an insert of the new; ``order`` becomes order * 2 and + 1.
 
-    Exact where the old key exists and the new one doesn't; ``sequential`` below is exact always.
+    The old key must exist: ``settle_key_changes`` comes first where it may not.
     """
-    moved = (F.col(op) == "update") & F.lit(False)
-    for k, b in zip(key, before, strict=True):
-        moved = moved | ((F.col(op) == "update") & ~F.col(k).eqNullSafe(F.col(b)))
+    moved = _moves(key, before, op)
     steps = F.when(moved, F.array(F.lit("delete"), F.lit("insert"))).otherwise(F.array(F.col(op)))
     out = changes.withColumn("_moved", moved).select("*", F.posexplode(steps).alias("_step", "_op"))
     old = F.col("_moved") & (F.col("_step") == 0)
@@ -83,6 +81,42 @@ def split_key_changes(changes: DataFrame, key: list[str], before: list[str], op:
     return out.withColumn(op, F.col("_op")).withColumn(order, F.col(order) * 2 + F.col("_step")).drop("_moved", "_step", "_op")
 
 
+def settle_key_changes(changes: DataFrame, key: list[str], before: list[str], base: DataFrame | None = None, op: str = "op", order: str = "event_id") -> DataFrame:
+    """H4: changes, in which an update that would move a row that isn't there stays at its old key, where it does nothing.
+
+    Whether a key exists follows from its last insert, delete or move away, or from base, unless moves to it came
+    since: then also from any of those that moved a row. A move thus leads to one other at most, the next that takes its
+    new key away if no insert or delete comes before, and what moves a row is found along these links by doubling them:
+    as many rounds as the logarithm of a row's moves, whatever the size of a component. Only keys of moves are read.
+    """
+    moves = changes.where(_moves(key, before, op))
+    if moves.isEmpty():
+        return changes
+    new, old = F.struct(*key).alias("_key"), F.struct(*(F.col(b).alias(k) for k, b in zip(key, before, strict=True))).alias("_key")
+    at = F.col(order).alias("_at")
+    ends = moves.where(_all_set(before)).select(old, at, F.lit("out").alias("_kind")).unionByName(moves.where(_all_set(key)).select(new, at, F.lit("in").alias("_kind")))
+    turns = changes.where(_all_set(key) & F.col(op).isin("insert", "delete")).select(new, at, F.col(op).alias("_kind"))
+    turns = ends.unionByName(turns.join(ends.select("_key").distinct(), "_key", "left_semi"))
+
+    sure = F.when(F.col("_kind") != "in", F.struct("_kind", "_at"))
+    upto = Window.partitionBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("_last", F.last(sure, ignorenulls=True).over(upto.orderBy("_at"))).withColumn("_then", F.last(sure, ignorenulls=True).over(upto.orderBy(F.desc("_at"))))
+    outs = turns.where("_kind = 'out'").select("_key", "_at", (F.col("_last._kind") == "insert").alias("_is"))
+    known = outs.withColumn("_known", F.lit(False)) if base is None else outs.join(base.select(new, F.lit(True).alias("_known")), "_key", "left")
+    ins = turns.where("_kind = 'in'").select("_at", F.when(F.col("_then._kind") == "out", F.col("_then._at")).alias("_next"))
+    links = known.select("_at", F.coalesce("_is", "_known", F.lit(False)).alias("_is")).join(ins, "_at", "left").localCheckpoint()
+    while not (reached := links.where("_is and _next is not null")).isEmpty():
+        reached = reached.select(F.col("_next").alias("_at"), F.lit(True).alias("_reached")).distinct()
+        ahead = links.where("_next is not null").select(F.col("_at").alias("_next"), F.col("_next").alias("_after"))
+        links = links.join(reached, "_at", "left").join(ahead, "_next", "left")
+        links = links.select("_at", (F.col("_is") | F.coalesce("_reached", F.lit(False))).alias("_is"), F.col("_after").alias("_next")).localCheckpoint()
+
+    idle = moves.select(order).join(links.where("_is").select(F.col("_at").alias(order)), order, "left_anti")
+    out = changes.join(idle.withColumn("_idle", F.lit(True)), order, "left")
+    stays = {k: F.when(F.col("_idle"), F.col(b)).otherwise(F.col(k)) for k, b in zip(key, before, strict=True)}
+    return out.withColumns(stays).select(*changes.columns)
+
+
 def counters(changes: DataFrame, by: list[str], skipped: Column, op: str = "op") -> DataFrame:
     """ER5, AG9, AG16, PJ11: replayed, skipped and ddl counts of each batch."""
     ddl = F.col(op) == "ddl"
@@ -126,13 +160,21 @@ def sequential(rows: list[tuple[str, tuple, tuple | None, tuple | None]], base:
         elif op == "delete":
             state.pop(key, None)
         elif (old or key) in state:
-            del state[old or key]
-            if strict and key in state:
+            if strict and old and old != key and key in state:
                 return state, i
+            del state[old or key]
             state[key] = row
     return state, None
 
 
+def _moves(key: list[str], before: list[str], op: str) -> Column:
+    """An update that changes the key."""
+    out = F.lit(False)
+    for k, b in zip(key, before, strict=True):
+        out = out | ~F.col(k).eqNullSafe(F.col(b))
+    return (F.col(op) == "update") & out
+
+
 def _all_set(key: list[str]) -> Column:
     out = F.lit(True)
     for k in key:

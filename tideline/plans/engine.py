@@ -212,8 +212,10 @@ class Replica:
         values = [c for c in rows.names if c not in key]
         at, op = "_event_", "_kind_"  # tables may have columns of the log's names
         flat = typed.select(F.col("event_id").alias(at), F.col("op").alias(op), *(F.col(f"_a.`{c}`").alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
-        events_of = replay.split_key_changes(flat, key, [f"_before_{k}" for k in key], op, at).drop(*(f"_before_{k}" for k in key)).persist()
+        flat, old = flat.persist(), [f"_before_{k}" for k in key]
+        events_of = flat
         try:
+            events_of = replay.split_key_changes(replay.settle_key_changes(flat, key, old, base, op, at), key, old, op, at).drop(*old).persist()
             whole = f"{op} <> 'insert' or {at} % 2 = 0"  # the second half of a key change isn't counted
             n = events_of.where(whole).count()
             if not n:
@@ -228,13 +230,14 @@ class Replica:
                     self._set(name, status="error")
                     raise RuntimeError(f"replay of {full} failed at event {first // 2}")
                 self._put("replica_tables", [(name, schema, table, destination, key, known.binlog_seq, known.binlog_pos, False)])
-                events_of = events_of.where(F.col(at) < first)
+                events_of = events_of.where(F.col(at) < first - first % 2)  # a move that clashes leaves the old row, too
                 n = events_of.where(whole).count()
             info = self.store.info(full) | {"batch_id": batch_id}
             self.store.write(full, replay.fold(events_of, key, values, base, op, at).select(*rows.names), info)
             return n
         finally:
             events_of.unpersist()
+            flat.unpersist()
 
     def _consistent(self, name: str, mark: object) -> None:
         """ST6: once a batch reaches the source's high watermark, its tables need no watermark any more."""
