@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 from fractions import Fraction
 
@@ -195,3 +196,56 @@ def test_pipeline(spark):
     assert [n for n, *_ in seen] == ["quality_classifier", "near_duplicates", "suffix_array_dedup", "source_mixing", "packing"]
     assert all(c == ["doc_id", "text", "lang", "source", "n_chars"] for _, c, _ in seen[:-1])
     assert 200 >= seen[0][2] > seen[1][2] > 0 and seen[-1][2] > 0
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    import brute
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from tideline.llm import mixing, quality
+    from tideline.llm.queries import tokenizer_path
+
+    sf, stages = f"{DATA}/sf0.001", dict(corpus_pipeline.STAGES)
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted(map(tuple, source.collect()))
+    full = [r for r in rows if r[1] and len(r[1].split()) > 80]
+    rows += [(10**6 + r[0], f"{r[1]} changed", *r[2:]) for r in full[::4]]
+    rows += [(2 * 10**6 + r[0], f"{r[1]} {full[0][1][:300]} ☃", *r[2:]) for r in full[1::4]]
+    rows += [(None, "one two three " * 30, "en", None, 420), (3 * 10**6, None, "en", full[0][3], 0)]
+    given = lambda r: spark.createDataFrame(r, source.schema)
+    run = lambda name, r: [tuple(x) for x in stages[name](spark, given(r), sf).collect()]
+    order = lambda r: sorted(r, key=repr)
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    known = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality in (0, 1) and not held(r.doc_id)}
+    counts = quality.term_counts([(r[1] or "").encode() for r in rows])
+    own = [k for k, r in enumerate(rows) if r[0] in known]
+    labels, found = [known[rows[k][0]] for k in own], Counter(known.values())
+    weighed = {k: found[k] / max(1, labels.count(k)) for k in (0, 1)}
+    some = [k for k, r in enumerate(rows) if r[1]]  # texts without terms have the prior
+    score = {rows[k]: v for k, v in zip(some, brute.votes(counts[some], weighed, counts[own], labels, quality.NEIGHBOURS, quality.RANK, quality.SHARPNESS), strict=True)}
+    prior = found[1] / (found[0] + found[1])
+    kept = run("quality_classifier", rows)
+    sure = {r for r in rows if abs(score.get(r, prior) - 0.5) > 0.02}
+    assert len(sure) > 0.9 * len(rows) and set(kept) <= set(rows) and len(kept) == len(set(kept))
+    assert set(kept) & sure == {r for r in sure if score.get(r, prior) >= 0.5}
+
+    groups = brute.components([r[:2] for r in kept if r[0] is not None], 5, 80, 100)
+    near = run("near_duplicates", kept)
+    assert order(near) == order(r for r in kept if r[0] is None or groups[r[0]][1] == r[0]) and len(near) < len(kept)
+
+    texts = brute.without_repeats([(r[0], r[1]) for r in near], 200)
+    cut = run("suffix_array_dedup", near)
+    assert order(cut) == order((r[0], t := texts[r[0]], r[2], r[3], len(t)) for r in near if r[0] in texts) and sum(r[4] for r in cut) < sum(len(r[1] or "") for r in near)
+
+    h = {r.doc_id: r.h for r in given(cut).select("doc_id", F.xxhash64("doc_id", F.lit("stream")).alias("h")).collect()}
+    chunks = max(16, -(-len(cut) // mixing.CHUNK))
+    stream = sorted(cut, key=lambda r: ((h[r[0]] >> 32) % chunks, h[r[0]]))
+    rest = {r[0]: r[2:4] for r in cut}
+    mixed = run("source_mixing", cut)
+    assert order(mixed) == order((k, t, *rest[k], len(t)) for k, t in brute.mixed([(r[0], r[3], r[1]) for r in stream], mixing.WEIGHTS, mixing.SHARE, mixing.CAP))
+
+    words = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    got = stages["packing"](spark, given(mixed).coalesce(1), sf).collect()
+    assert order(map(tuple, got)) == order(brute.packed([(r[0], [*words.encode(r[1] or "", add_special_tokens=False).ids, 1]) for r in mixed], 2048))
