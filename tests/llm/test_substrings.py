@@ -8,7 +8,7 @@ import random
 import brute
 import pytest
 
-from tideline.llm import rlz_dedup, substrings, suffix_dedup
+from tideline.llm import hashing, rlz_dedup, substrings, suffix_dedup
 from tideline.llm.suffix_dedup import maximal_repeats
 
 
@@ -25,21 +25,21 @@ def corpus(seed, copies=6):
     return rows
 
 
-@pytest.mark.parametrize("cap", [64, 1])
+@pytest.mark.parametrize("cap", [256, 1])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(frame, monkeypatch, cap, seed):
     rows = corpus(seed)
     given = substrings.Method
-    monkeypatch.setattr(suffix_dedup, "Method", lambda **k: dataclasses.replace(given(**k), group_cap=cap))
-    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), group_cap=cap))
+    monkeypatch.setattr(suffix_dedup, "Method", lambda **k: dataclasses.replace(given(**k), part=cap))
+    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), part=cap))
     got = suffix_dedup.remove_repeats(frame(rows)).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute.suffix_dedup(rows, 200), key=repr)
     got = rlz_dedup.remove_duplicates(frame(rows)).select("rest.doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 50), key=repr)
 
 
-@pytest.mark.parametrize("cap", [64, 1])
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("cap", [256, 1])
+@pytest.mark.parametrize("seed", range(2))
 def test_copies_within_one_document(frame, monkeypatch, cap, seed):
     rng = random.Random(seed)
     text = lambda n: " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
@@ -50,7 +50,7 @@ def test_copies_within_one_document(frame, monkeypatch, cap, seed):
     rows += [(5, q), (None, f"{z} {q} {v}"), (None, f"{z} {q} {v} {text(3)} {z} {q} {v}"), (6, text(300))]
     rng.shuffle(rows)
     given = substrings.Method
-    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), group_cap=cap))
+    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), part=cap))
     got = rlz_dedup.remove_duplicates(frame(rows)).select("rest.doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 50), key=repr)
 
@@ -70,16 +70,71 @@ def test_empty_tables(frame):
 
 
 def test_maximal_repeats():
-    texts = [b"xabcdey", b"zabcdew", b"qabcq"]
-    got = {texts[p[0][0]][p[0][1] : p[0][1] + n]: sorted(p) for n, p in maximal_repeats(texts, 3)}
-    assert got == {b"abcde": [(0, 1), (1, 1)], b"abc": [(0, 1), (1, 1), (2, 1)]}
+    texts = [(b"xabcdey", 2), (b"zabcdew", 2), (b"qabcq", 2), (b"bcdev", 0)]
+    got = list(maximal_repeats(texts, 3))
+    assert {(a, b, tuple(sorted(m))) for a, b, m in got} == {(0, 4, (0, 1, 3)), (1, 2, (0, 1, 2)), (1, 4, (0, 1))}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_maximal_repeats_are_all(seed):
+    rng = random.Random(seed)
+    texts = sorted({(bytes(rng.choice(b"ab") for _ in range(rng.randrange(6))), bytes(rng.choice(b"ab") for _ in range(rng.randrange(6)))) for _ in range(14)})
+    got = {(a, b, tuple(sorted(m))) for a, b, m in maximal_repeats([(x + b"|" + y, len(x)) for x, y in texts], 3)}
+    expect = set()
+    for left in range(6):
+        for right in range(1, 7):
+            if left + right < 3:
+                continue
+            for i, (x, y) in enumerate(texts):
+                same = lambda j, a, b: len(texts[j][0]) >= a and len(texts[j][1]) + 1 >= b and x[len(x) - a :] == texts[j][0][len(texts[j][0]) - a :] and (b"|" + y)[:b] == (b"|" + texts[j][1])[:b]  # noqa: E731, B023
+                if len(x) < left or len(y) + 1 < right:
+                    continue
+                found = [j for j in range(len(texts)) if same(j, left, right)]
+                wider = [len(x) > left and all(same(j, left + 1, right) for j in found), len(y) + 1 > right and all(same(j, left, right + 1) for j in found)]
+                if len(found) > 1 and not any(wider):
+                    expect.add((left, right, tuple(found)))
+    assert got == expect
 
 
 def test_factors_check_their_boundaries():
-    word = lambda i: i.to_bytes(8, "big")
-    a, b = b"".join(map(word, range(1, 7))), b"".join(map(word, [5, 6, 7, 8]))
+    word = lambda i: str(i).encode()
+    a, b = [word(i) for i in range(1, 7)], [word(i) for i in (5, 6, 7, 8)]
     reference = rlz_dedup.Reference(3)
     reference.add(1, a)
     reference.add(2, b)
-    assert list(reference.factors(3, b"".join(map(word, range(1, 9))))) == [(0, 6), (4, 4)]
+    assert list(reference.factors(3, [word(i) for i in range(1, 9)])) == [(0, 6), (4, 4)]
     assert list(reference.factors(1, a)) == []
+
+
+@pytest.mark.parametrize("part", [256, 3])
+def test_long_texts_and_a_passage_in_a_third_of_all(frame, monkeypatch, part):
+    rng = random.Random(part)
+    words = [f"t{rng.randrange(10**6)}" for _ in range(5000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, long = text(70), text(9_000)
+    rows = [(i, f"{text(rng.randrange(60))} {passage} {text(rng.randrange(60))}" if i % 3 == 0 else text(rng.randrange(90))) for i in range(120)]
+    rows += [(200, long), (201, f"{text(900)} {long[20_000:40_000]} {text(900)}"), (202, f"{long[45_000:]} {text(9_000)}")]
+    given = substrings.Method
+    monkeypatch.setattr(suffix_dedup, "Method", lambda **k: dataclasses.replace(given(**k), part=part))
+    monkeypatch.setattr(rlz_dedup, "Method", lambda **k: dataclasses.replace(given(**k), part=part))
+    got = suffix_dedup.remove_repeats(frame(rows)).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute.suffix_dedup(rows, 200), key=repr)
+    got = rlz_dedup.remove_duplicates(frame(rows)).select("rest.doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 50), key=repr)
+
+
+def test_long_inputs_are_read_in_pieces():
+    rng = random.Random(3)
+    raw = [" ".join(f"w{rng.randrange(99)}" for _ in range(n)).encode() for n in (500, 0, 3, 900)]
+    whole, bounds = hashing.words(raw)
+    parts, again = hashing.words(raw, most=50)
+    assert (whole == parts).all() and (bounds == again).all()
+    spread = lambda most: {(t, s + k, g, p - k) for t, s, n, p, g in zip(*(x.tolist() for x in hashing.anchors(whole, bounds, 50, 8, most)[:5])) for k in range(n)}  # noqa: B905, E731
+    assert spread(1 << 19) == spread(77)
+
+
+def test_columns_of_the_operators_own_names(spark):
+    text = "word " * 60
+    rows = spark.createDataFrame([(i, text, i, "z", "s") for i in (1, 2)], "doc_id long, text string, ord int, z string, spans string")
+    got = rlz_dedup.remove_duplicates(rows).collect()
+    assert {(r.rest.doc_id, r.rest.ord, r.rest.z, r.rest.spans, r.n_removed) for r in got} == {(1, 1, "z", "s", 0), (2, 2, "z", "s", 60)}

@@ -8,14 +8,17 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Rows whose texts a Python worker holds as objects at a time.
-SLICE = 1000
+#: Rows, and bytes of text, that a Python worker holds as objects at a time; a longer text comes alone.
+SLICE, SLICE_BYTES = 1000, 2_000_000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The word pattern of the contracts, as Java and Python regular expressions read it.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -38,8 +41,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: lineage ends here, and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    small_batches(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``stored`` wrote, once nothing reads it any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch than by default, unless the session sets a number: whole texts are large rows."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(2 * SLICE))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +77,7 @@ def by_columns(df: DataFrame, made: Callable[..., Sequence[Sequence]], schema: s
     Unlike pandas, this keeps null and 64-bit ids as they are. A batch holds a bounded number of rows and bytes.
     """
     fields = to_arrow_schema(StructType.fromDDL(schema))
+    small_batches(df.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -65,14 +86,23 @@ def by_columns(df: DataFrame, made: Callable[..., Sequence[Sequence]], schema: s
     return df.mapInArrow(rows, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of up to ``rows`` rows, so that few texts are Python objects at a time.
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, n_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of up to ``rows`` rows and about ``n_bytes`` bytes, so that few texts are Python objects at a time.
 
     At the end of the task what it used goes back to the system: workers are used again, for other operators too.
     """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        sums = np.cumsum(sizes)
+        at = 0
+        while at < batch.num_rows:
+            full = int(np.searchsorted(sums, (sums[at - 1] if at else 0) + n_bytes, "right"))
+            stop = min(max(at + 1, full), at + rows)
+            yield batch.slice(at, stop - at)
+            at = stop
     release()
 
 

@@ -2,22 +2,25 @@
 
 A passage is a window of W symbols, bytes or words. Every window has an anchor,
 its least gram by hash, so equal windows meet in their anchor's group whatever
-surrounds them. A text is thus described by a light row for each run of windows
-with one anchor (about 2 / W rows a symbol), with a hash of the run's whole
-context. The groups then fall apart:
-
-* one occurrence: nothing repeats, the row goes;
-* all contexts equal: whole runs repeat, no symbols needed;
-* several contexts: equal contexts are settled by their hash; one of each is
-  cut from its text, and the solver (a suffix array or a Lempel-Ziv parse)
-  compares the few that differ within the group. In ordered mode what it finds
-  holds for all copies in rows of the same ``ord``, which take its spans over;
-* groups of more than ``group_cap`` different contexts, such as the edges of a
-  passage that a third of all documents have, are taken apart into single
-  windows, counted with partial aggregation: exact, and no task holds a group.
-
-Symbols are compared as such in groups, by 64-bit hash of the context with a
-64-bit hash of its gram (128 bits) where contexts are equal.
+surrounds them, and at the same distance from the anchor. A text is described by
+a light row for each run of windows with one anchor (about 2 / W rows a symbol),
+with a hash of the run's symbols, its context. Then, for every group alike:
+
+* groups of one occurrence go, as nothing in them repeats;
+* equal contexts (128 bits: a hash of the gram and, by another polynomial, one
+  of the context) are one, with its number of occurrences and its first document;
+* the distinct contexts are cut from their texts and given to the solver, a
+  suffix array or a Lempel-Ziv parse, which compares symbols and is the only
+  source of spans. A group's only context needs no symbols: it is a tree of one
+  leaf, or a block that its own copies refer to;
+* all spans of a context hold its anchor, so their union is one span, which is
+  handed to every occurrence of the context.
+
+No task holds a group: those of more than ``part`` distinct contexts, such as
+the edges of a passage that a third of all documents have, are solved in parts.
+The parts then exchange their windows, by 128 bits of hash with partial
+aggregation, and each looks up the windows that it couldn't settle by itself.
+Joins are between stored tables, so Spark deals hot keys to several tasks.
 """
 
 from __future__ import annotations
@@ -34,29 +37,26 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns, slices, stored, to_batch
+from tideline.llm.common import by_columns, discard, slices, small_batches, stored, to_batch
 
 LAST = (1 << 63) - 1
 
 
 @dataclass(frozen=True)
 class Context:
-    """A run of windows: ``data`` spans from the first window's start to the last one's end."""
+    """A distinct run of windows. ``data`` has its symbols, ``lead`` of them before the anchor's gram."""
 
-    row: int
-    order: int
-    start: int
+    copies: int
+    order: int  # of the first document that has it
+    later: bool  # whether a later document has it too
+    lead: int
     windows: int
-    data: bytes
-    copies: int | None  # the context's hash, if it has further occurrences
+    data: bytes | None  # none for a group's only context
 
-    @property
-    def alone(self) -> bool:
-        return self.copies is None
 
-
-#: Gets an anchor's contexts; gives (context, start, stop), in symbols from the context's start.
-Solver = Callable[[list[Context], int], Iterator[tuple[Context, int, int]]]
+#: Gets an anchor's distinct contexts; gives (context's number, later, start, stop), in symbols from the context's start.
+#: ``later`` says which occurrences lose the span: None for all, else those in later documents (True) or in the first (False).
+Solver = Callable[[list[Context], int], Iterator[tuple[int, bool | None, int, int]]]
 
 
 @dataclass(frozen=True)
@@ -68,21 +68,21 @@ class Method:
     gram: int
     ordered: bool
     solve: Solver
-    group_cap: int = 64
+    part: int = 256
 
-    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols for hashing, the first of each text, and the symbols as contexts hold them."""
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols for hashing, and the first of each text."""
         if self.words:
-            hashes, bounds = hashing.words(texts)
-            return hashes, bounds, hashes
+            return hashing.words(texts)
         data, bounds = hashing.joined(texts)
-        return hashing.BYTES[data], bounds, data
+        return hashing.BYTES[data], bounds
 
 
 def squeezed(docs: DataFrame, text: Column, names: list[str]) -> DataFrame:
     """The named columns and ``z``, the text compressed: what a shuffle of whole texts then moves is much less."""
     frame = docs.select(*names, text.alias("z"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]) + ", z binary"
+    small_batches(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -93,133 +93,149 @@ def squeezed(docs: DataFrame, text: Column, names: list[str]) -> DataFrame:
     return frame.mapInArrow(rows, schema)
 
 
-ANCHORS = "row long, ord long, start int, windows int, gram long, context long"
+ANCHORS = "row long, ord long, start int, windows int, lead int, gram long, context long"
 
 
 def _anchors(docs: DataFrame, method: Method) -> DataFrame:
     def made(rows: list, orders: list, texts: list) -> list:
-        out: list[list[np.ndarray]] = [[] for _ in range(6)]
+        out: list[list[np.ndarray]] = [[] for _ in range(7)]
         raw = [t.encode() for t in texts]
         row, order = np.array(rows, np.int64), np.array(orders, np.int64)
         for a, b in hashing.chunks(raw):
-            symbols, bounds, _ = method.symbols(raw[a:b])
-            text, start, windows, _, gram, context = hashing.anchors(symbols, bounds, method.window, method.gram)
-            for column, values in zip(out, (row[a:b][text], order[a:b][text], start.astype(np.int32), windows.astype(np.int32), gram, context), strict=True):
+            symbols, bounds = method.symbols(raw[a:b])
+            text, start, windows, lead, gram, context = hashing.anchors(symbols, bounds, method.window, method.gram)
+            for column, values in zip(out, (row[a:b][text], order[a:b][text], *(x.astype(np.int32) for x in (start, windows, lead)), gram, context), strict=True):
                 column.append(values)
         return [np.concatenate(c) if c else [] for c in out]
 
     return by_columns(docs.select("row", "ord", "text"), made, ANCHORS)
 
 
+CUT = "gram long, context long, part int, parts int, copies long, first long, later boolean, lead int, windows int, data binary"
+
+
 def _cut(needed: DataFrame, method: Method) -> DataFrame:
-    """Of each text the contexts asked for: whole, or window by window where their group is large."""
-    window = method.window
+    """The contexts that are asked for, cut from their texts; words are joined by single spaces."""
 
-    def made(rows: list, orders: list, texts: list, wanted: list) -> list:
-        press, out = zstandard.ZstdDecompressor(), []
-        raw = [press.decompress(z) for z in texts]
-        for a, b in hashing.chunks(raw):
-            symbols, bounds, kept = method.symbols(raw[a:b])
-            ranges = None
-            for i in range(a, b):
-                base = bounds[i - a]
-                for w in wanted[i]:
-                    at, n = base + w["start"], w["windows"]
-                    if w["large"]:
-                        ranges = ranges or hashing.Ranges(symbols)
-                        starts = np.arange(at, at + n)
-                        hashes = ranges.hash(starts, starts + window).view(np.int64).tolist()
-                        out += [(w["gram"], h, rows[i], orders[i], w["start"], k, 1, w["copies"], None) for k, h in enumerate(hashes)]
-                    else:
-                        out.append((w["gram"], None, rows[i], orders[i], w["start"], 0, n, w["copies"], kept[at : at + n + window - 1].tobytes()))
-        return list(zip(*out, strict=True)) if out else [[]] * 9
+    def made(texts: list, wanted: list) -> list:
+        press = zstandard.ZstdDecompressor()
+        out: list[list] = [[] for _ in range(10)]
+        names = ("gram", "context", "part", "parts", "copies", "first", "later", "lead", "windows")
+        for z, contexts in zip(texts, wanted, strict=True):
+            text = press.decompress(z)
+            symbols = text.split() if method.words else text
+            for w in contexts:
+                part = symbols[w["start"] : w["start"] + w["windows"] + method.window - 1]
+                for column, name in zip(out, names, strict=False):
+                    column.append(w[name])
+                out[-1].append(b" ".join(part) if method.words else part)
+        return out
 
-    return by_columns(needed, made, "gram long, whole long, row long, ord long, start int, offset int, windows int, copies long, data binary")
+    return by_columns(needed, made, CUT)
 
 
-SOLVED = "gram long, copies long, row long, ord long, at int, start int, stop int"
+#: A span has start and stop; a window for the exchange has at, h1, h2 and whether it is still open.
+SOLVED = "gram long, context long, first long, later boolean, start int, stop int, at int, h1 long, h2 long, copies long, open boolean"
 
 
 def _solved(cut: DataFrame, method: Method) -> DataFrame:
-    """Spans of the contexts, group by group, with their contexts; a task streams its groups and holds one at a time."""
+    """Spans of the contexts, group by group, and the windows of groups in parts. A task streams its groups and holds a few."""
     fields = to_arrow_schema(StructType.fromDDL(SOLVED))
     n = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = cut.select("gram", "row", "ord", "start", "windows", "copies", "data").repartition(n, "gram").sortWithinPartitions("gram", "ord", "row", "start")
-
-    def spans(group: list[Context], gram: int) -> list[tuple]:
-        if len(group) < 2:
-            return []
-        return [(gram, c.copies, c.row, c.order, c.start, c.start + start, c.start + stop) for c, start, stop in method.solve(group, method.window)]
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[Context] = []
-        now = None
+    grouped = cut.repartition(n, "gram", "part").sortWithinPartitions("gram", "part", "first", "context")
+
+    def spans(rows: list[tuple]) -> list[list]:
+        gram, parts = rows[0][0], rows[0][3]
+        group = [Context(*r[4:]) for r in rows]
+        out: list[list] = [[] for _ in fields]
+        found: list[list[tuple[int, int]]] = [[] for _ in group]
+        for i, later, start, stop in method.solve(group, method.window):
+            if later is not True:
+                found[i].append((start, stop))
+            for column, value in zip(out, (gram, rows[i][1], group[i].order, later, start, stop, None, None, None, None, None), strict=True):
+                column.append(value)
+        if parts > 1:
+            _publish(rows, group, found, method, out)
+        return out
+
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        out: list[list] = [[] for _ in fields]
         for batch in slices(batches, 10_000):
-            out = []
-            for gram, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if gram != now:
-                    out += spans(group, now)
-                    group, now = [], gram
-                row, order, start, windows, copies, data = rest
-                group.append(Context(row, order, start, windows, data, copies))
-            if out:
-                yield to_batch(list(zip(*out, strict=True)), fields)
-        out = spans(group, now)
-        if out:
-            yield to_batch(list(zip(*out, strict=True)), fields)
-
-    return grouped.mapInArrow(rows, SOLVED)
-
-
-def _taken_over(mixed: DataFrame, solved: DataFrame) -> DataFrame:
-    """Spans of a context's first occurrence, for its other occurrences in rows of the same ord: later rows lose theirs whole."""
-    moved = F.struct((F.col("start") - F.col("at")).alias("start"), (F.col("stop") - F.col("at")).alias("stop"))
-    found = solved.where("copies is not null").groupBy("gram", F.col("copies").alias("context"), "ord", F.col("row").alias("_row"), F.col("at").alias("_at")).agg(F.collect_list(moved).alias("moved"))
-    others = mixed.join(found, ["gram", "context", "ord"]).where("row <> _row or start <> _at")
-    return others.select("row", F.col("start").alias("at"), F.explode("moved").alias("m")).select("row", (F.col("at") + F.col("m.start")).alias("start"), (F.col("at") + F.col("m.stop")).alias("stop"))
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and (group[0][0] != row[0] or group[0][2] != row[2]):
+                    _added(out, spans(group))
+                    group = []
+                    if len(out[0]) > 20_000:
+                        yield to_batch(out, fields)
+                        out = [[] for _ in fields]
+                group.append(row)
+        if group:
+            _added(out, spans(group))
+        if out[0]:
+            yield to_batch(out, fields)
+
+    small_batches(cut.sparkSession)
+    return grouped.mapInArrow(solved, SOLVED)
+
+
+def _added(columns: list[list], more: list[list]) -> None:
+    for a, b in zip(columns, more, strict=True):
+        a.extend(b)
+
+
+def _publish(rows: list[tuple], group: list[Context], found: list[list[tuple[int, int]]], method: Method, out: list[list]) -> None:
+    """The windows of a part, for the other parts of its group; those within no span of their context are open."""
+    symbols, bounds = method.symbols([c.data or b"" for c in group])
+    hashes = [hashing.Ranges(symbols, base) for base in (hashing.BASE, hashing.OTHER_BASE)]
+    for i, context in enumerate(group):
+        at = np.arange(bounds[i], bounds[i] + context.windows)
+        open_ = np.ones(context.windows, bool)
+        for start, stop in found[i]:
+            open_[start : max(start, stop - method.window + 1)] = False
+        n = context.windows
+        values = ([rows[i][0]] * n, [rows[i][1]] * n, [context.order] * n, [None] * n, [None] * n, [None] * n, range(n), *(h.hash(at, at + method.window).view(np.int64).tolist() for h in hashes), [context.copies] * n, open_.tolist())
+        _added(out, list(values))
 
 
 def repeated_spans(docs: DataFrame, method: Method) -> DataFrame:
-    """row and spans (array of start and stop, in symbols; they may overlap) of the texts that hold repeated windows.
+    """row, ord and spans (array of start and stop, in symbols; they may overlap) of the texts that hold repeated windows.
 
-    docs has row (a key of the text, long), ord (long) and text.
+    docs has row and ord (longs; together a key of the text) and text; in an ordered method ord is the documents' order.
     """
     window = method.window
     found = stored(_anchors(docs, method), "anchors")
     groups = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("ord").alias("first"), F.max("ord").alias("last"), F.min("context").alias("c0"), F.max("context").alias("c1"))
-    groups = groups.where("first < last" if method.ordered else "n > 1").select("gram", "first", (F.col("c0") < F.col("c1")).alias("mixed"))
+    groups = stored(groups.where("first < last" if method.ordered else "n > 1").select("gram", (F.col("c0") < F.col("c1")).alias("mixed")), "groups")
     shared = stored(found.join(groups, "gram"), "shared")
-
-    span = ("row", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("stop"))
-    same = shared.where("not mixed and first < ord" if method.ordered else "not mixed").select(*span)
-
-    mixed = shared.where("mixed").drop("mixed", "first")
-    contexts = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("ord", "row", "start", "windows")).alias("one"))
-    contexts = stored(contexts.select("gram", "context", "n", "one.*"), "contexts")
-    copies = contexts.where("n > 1").select("gram", "context", F.col("ord").alias("first"))
-    equal = mixed.join(copies, ["gram", "context"]).where("first < ord" if method.ordered else "true").select(*span)
-
-    sizes = contexts.groupBy("gram").agg((F.count("*") > method.group_cap).alias("large"))
-    wanted = contexts.join(sizes, "gram").select("row", F.struct("gram", "start", "windows", "large", F.when(F.col("n") > 1, F.col("context")).alias("copies")).alias("w"))
-    wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
-    needed = squeezed(docs, F.col("text"), ["row", "ord"]).join(wanted, "row").select("row", "ord", "z", "wanted")
+    discard(found, groups)
+
+    one = F.min(F.struct("ord", "row", "start", "windows", "lead")).alias("one")
+    contexts = shared.groupBy("gram", "context").agg(F.first("mixed").alias("mixed"), F.count("*").alias("copies"), F.max("ord").alias("last"), one)
+    contexts = contexts.select("gram", "context", "mixed", "copies", "one.*", F.col("one.ord").alias("first"), (F.col("last") > F.col("one.ord")).alias("later"))
+    contexts = stored(contexts, "contexts")
+    sizes = contexts.where("mixed").groupBy("gram").agg(F.ceil(F.count("*") / method.part).cast("int").alias("parts"))
+    large = stored(sizes.where("parts > 1"), "large")
+    dealt = contexts.join(large, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("context"), "parts").cast("int"))
+    names = [f.name for f in StructType.fromDDL(CUT).fields[:-1]]
+    wanted = dealt.where("mixed").groupBy("row", "ord").agg(F.collect_list(F.struct("start", *names)).alias("wanted"))
+    needed = squeezed(docs, F.col("text"), ["row", "ord"]).join(wanted, ["row", "ord"]).select("z", "wanted")
     cut = stored(_cut(needed, method), "cut")
+    alone = dealt.where("not mixed").select(*names, F.lit(None).cast("binary").alias("data"))
+    solved = stored(_solved(cut.unionByName(alone), method), "solved")
+    discard(contexts, large, cut)
 
-    small = _solved(cut.where("whole is null"), method)
-    large = cut.where("whole is not null")
-    counted = large.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
-    counted = counted.where("n > 1").select("gram", "whole", "first")
-    single = large.join(counted, ["gram", "whole"]).where("first < ord" if method.ordered else "copies is null")
-    start = F.col("start") + F.col("offset")
-    single = single.select("gram", "copies", "row", "ord", F.col("start").alias("at"), start.alias("start"), (start + window).alias("stop"))
+    windows = solved.where("h1 is not null")
+    nodes = stored(windows.groupBy("gram", "h1", "h2").agg(F.sum("copies").alias("all"), F.min("first").alias("least")).where("true" if method.ordered else "all > 1"), "nodes")
+    late = windows.where("open").join(nodes, ["gram", "h1", "h2"]).where("least < first" if method.ordered else "true")
+    late = late.select("gram", "context", "first", F.lit(False if method.ordered else None).cast("boolean").alias("later"), F.col("at").alias("start"), (F.col("at") + window).alias("stop"))
+    every = solved.where("h1 is null").select("gram", "context", "first", "later", "start", "stop").unionByName(late)
+    spans = stored(every.groupBy("gram", "context", "first", "later").agg(F.min("start").alias("from"), F.max("stop").alias("upto")), "spans")
+    discard(solved, nodes)
 
-    solved = small.unionByName(single)
-    spans = same.unionByName(equal)
-    if method.ordered:
-        solved = stored(solved, "solved")
-        spans = spans.unionByName(_taken_over(mixed, solved))
-    spans = spans.unionByName(solved.select("row", "start", "stop"))
-    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    hit = shared.join(spans, ["gram", "context"]).where("later is null or later = (ord > first)")
+    hit = hit.select("row", "ord", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("upto")).alias("stop"))
+    return hit.groupBy("row", "ord").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def covered(spans: list[dict] | None, n: int) -> np.ndarray:
@@ -233,19 +249,24 @@ def covered(spans: list[dict] | None, n: int) -> np.ndarray:
 
 
 def with_removed(docs: DataFrame, method: Method, id_col: str, text_col: str, remove: Callable[[bytes, list | None], tuple], extra: str) -> DataFrame:
-    """docs, each row with what ``remove`` gives for its text and spans (columns ``extra``), its other columns kept as ``rest``."""
+    """docs, each row with what ``remove`` gives for its text and spans (columns ``extra``), its other columns kept as ``rest``.
+
+    A text's key has 128 bits: a hash of id and text with the id, or with another hash where order doesn't matter.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    keyed = docs.select(F.xxhash64(order, text, F.lit("row")).alias("row"), order.alias("ord"), text.alias("text"), F.struct("*").dropFields(text_col).alias("rest") if len(docs.columns) > 1 else F.lit(None).alias("rest"))
+    tie = order if method.ordered else F.xxhash64(text, F.lit("tie"), order)
+    rest = F.struct("*").dropFields(text_col) if len(docs.columns) > 1 else F.lit(None)
+    keyed = docs.select(F.xxhash64(order, text, F.lit("row")).alias("row"), tie.alias("ord"), text.alias("text"), rest.alias("rest"))
     spans = repeated_spans(keyed.select("row", "ord", "text"), method)
-    whole = squeezed(keyed, F.col("text"), ["row", "rest"]).join(spans, "row", "left").select("rest", "z", "spans")
+    whole = squeezed(keyed, F.col("text"), ["row", "ord", "rest"]).join(spans, ["row", "ord"], "left").select("rest", "z", "spans")
     kind = whole.schema["rest"].dataType.simpleString()
     schema = f"rest {kind}, {extra}"
     fields = to_arrow_schema(StructType.fromDDL(extra))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for batch in slices(batches):
+        for batch in slices(batches, n_bytes=500_000):  # of compressed text
             made = [remove(press.decompress(z), s) for z, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             columns = [pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), fields, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["rest", *fields.names])
