@@ -132,7 +132,7 @@ def packed(documents, window):
             part = ids[s : s + window]
             pieces.append((key, s, len(part), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part)), len(ids)))
     rooms, out, used = [], [], 0
-    for turn, piece in enumerate(sorted(pieces, key=lambda p: -p[2])):
+    for turn, piece in enumerate(sorted(pieces, key=lambda p: (-p[2], p[0] is not None, p[0] or 0, p[1], p[3], p[4]))):
         fits = [r for r in rooms if r[0] >= piece[2]]
         best = min(fits, key=lambda r: (r[0], -r[1])) if fits else (window, 0, used)
         if fits:

@@ -1,11 +1,13 @@
 """Packing documents into fixed windows by best-fit decreasing.
 
-Each task tokenises its own documents, cuts the overlong ones into full
-windows, and packs the rest of its pieces: longest first, each into the
+Documents are tokenised where they lie and cut into pieces, overlong ones into
+full windows first; a piece is a row of a few numbers. The pieces, not the texts,
+are then dealt by hash into groups of about GROUP, whatever the partitions of the
+input were, and each group is packed by itself: longest first, each into the
 tightest window that still holds it. A segment tree over remaining capacities
-finds that window in O(log capacity). Only lengths and checksums are kept
-until the task ends, not tokens. No shuffle is needed; a task wastes at most
-the windows that its last pieces leave open.
+finds that window in O(log capacity). A group comes sorted and leaves as a
+stream, so a task holds its open windows only; it wastes at most what its last
+few windows leave open.
 """
 
 from __future__ import annotations
@@ -17,18 +19,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tideline.llm.common import slices, to_batch
+from tideline.llm.common import slices, small_batches, stored, to_batch
 
 WINDOW, END_ID = 2048, 1
 #: Distinct pre-tokens whose ids a worker remembers; beyond, the table starts anew.
 REMEMBERED = 300_000
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Pieces that are packed together, about.
+GROUP = 16_384
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+SCHEMA = f"{PIECES}, sequence_id long, offset long"
 
 
 #: The pre-tokenizer's pattern that the quick way stands for; a vocabulary with another is encoded as a whole.
@@ -112,17 +116,28 @@ class Capacities:
         return self.windows[capacity].pop(), capacity
 
 
+class Packer:
+    """Best fit for pieces that come longest first."""
+
+    def __init__(self, window: int) -> None:
+        self.window, self.used, self._tree = window, 0, Capacities(window)
+
+    def place(self, length: int) -> tuple[int, int]:
+        """(window, offset) of a piece no longer than the window."""
+        found = self._tree.take(length)
+        number, room = found or (self.used, self.window)
+        self.used += found is None
+        if room > length:
+            self._tree.add(room - length, number)
+        return number, self.window - room
+
+
 def best_fit(lengths: list[int], window: int = WINDOW) -> tuple[list[tuple[int, int]], int]:
     """(window, offset) of each piece, none longer than window, and the number of windows. Ties keep their order."""
-    tree, placed, used = Capacities(window), [(0, 0)] * len(lengths), 0
+    packer, placed = Packer(window), [(0, 0)] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        found = tree.take(lengths[i])
-        number, room = found or (used, window)
-        used += found is None
-        placed[i] = (number, window - room)
-        if room > lengths[i]:
-            tree.add(room - lengths[i], number)
-    return placed, used
+        placed[i] = packer.place(lengths[i])
+    return placed, packer.used
 
 
 @lru_cache(maxsize=4)
@@ -130,30 +145,64 @@ def words_of(vocabulary: str) -> Words:
     return Words(vocabulary)
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
-
-    A document is its ids and then ``end_id``, so an empty or null text is one piece of one id. Documents longer than
-    a window are first cut into full windows, each a sequence of its own; what is left of them is packed with the
-    others. Repeated rows are packed as often as they come. sequence_id is the task's number in the upper bits and
-    the window's in the lower 32, so it is the same when a task runs again.
-    """
-    fields = to_arrow_schema(StructType.fromDDL(SCHEMA))
+def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, start, length, ids_crc32 and doc_tokens of the pieces: full windows, and what is left of each document."""
+    fields = to_arrow_schema(StructType.fromDDL(PIECES))
+    small_batches(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pieces = words_of(vocabulary), []
-        end = end_id.to_bytes(4, "little")
+        words, end = words_of(vocabulary), end_id.to_bytes(4, "little")
         for batch in slices(batches):
+            out: list[list[int]] = [[] for _ in fields]
             for ident, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = words.ids(text or "") + end
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]
-                    pieces.append((ident, start, len(part) // 4, zlib.crc32(part), n))
-        placed, _ = best_fit([p[2] for p in pieces], window)
-        base = TaskContext.get().partitionId() << 32
-        for i in range(0, len(pieces), 10_000):
-            out = [(*p, base + number, offset) for p, (number, offset) in zip(pieces[i : i + 10_000], placed[i : i + 10_000], strict=True)]
-            yield to_batch(list(zip(*out, strict=True)), fields)
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(rows, SCHEMA)
+                    for column, value in zip(out, (ident, start, len(part) // 4, zlib.crc32(part), n), strict=True):
+                        column.append(value)
+            yield to_batch(out, fields)
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(rows, PIECES)
+
+
+def pack_pieces(cut: DataFrame, n: int, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """``cut`` (n rows, as ``pieces`` gives them) with sequence_id and offset.
+
+    The group comes from a hash of the whole row and the order within it from the row, so the packing doesn't depend
+    on partitions; rows that are equal in all columns are interchangeable. sequence_id is the group's number in the
+    upper bits and the window's in the lower 32.
+    """
+    names = [f.name for f in StructType.fromDDL(PIECES).fields]
+    groups = max(1, round(n / group))
+    dealt = cut.select(F.pmod(F.xxhash64(*names), F.lit(groups)).alias("group"), *names)
+    tasks = min(groups, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = dealt.repartition(tasks, "group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start", "ids_crc32", "doc_tokens")
+    fields = to_arrow_schema(StructType.fromDDL(SCHEMA))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, packer = None, Packer(window)
+        for batch in slices(batches, 10_000):
+            numbers, offsets = [], []
+            for of, length in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if of != now:
+                    now, packer = of, Packer(window)
+                number, offset = packer.place(length)
+                numbers.append((of << 32) + number)
+                offsets.append(offset)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())], schema=fields)
+
+    return order.mapInArrow(rows, SCHEMA)
+
+
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    A document is its ids and then ``end_id``, so an empty or null text is one piece of one id. Documents longer than
+    a window are first cut into full windows, each a sequence of its own; what is left of them is packed with the
+    others. Repeated rows are packed as often as they come, null ids too. Pieces of one length go by id and place. Other
+    columns, whatever their names, are left behind. An empty table gives an empty one. A worker holds one very long
+    text at a time. The same rows are packed alike however they are partitioned.
+    """
+    cut = stored(pieces(docs, vocabulary, window, end_id, id_col, text_col), "pieces")
+    return pack_pieces(cut, cut.count(), window, group)
