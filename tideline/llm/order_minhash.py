@@ -16,14 +16,16 @@ each use within a lambda.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS, ELL, K, PIECE = 32, 2, 2, 12
-#: Documents that share a bucket of the neighbour search, about.
-BUCKET = 2000
+#: Documents that share a bucket of the neighbour search, on average, and the most bounds of buckets that a plan holds:
+#: beyond BUCKET * MOST_BOUNDS documents (500 million) buckets grow, to about 80,000 documents at 20 billion.
+BUCKET, MOST_BOUNDS = 2000, 1 << 18
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -82,36 +84,41 @@ def as_text(prints: Column) -> Column:
 def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id", tie: str = "text") -> DataFrame:
     """docs with ``next``, a struct of the carried columns of the document with the next smaller id; the last one gets the first's.
 
-    Ids are cut into buckets at quantiles; a bucket's rows are ordered in one task. Each bucket's last row looks to
-    the first of the next bucket, which is sent to both. Bounds and first ids are a value for each bucket; about
-    BUCKET rows make one. Rows with equal ids follow each other in an order by a hash of ``tie``; null ids come last.
+    Documents are ordered by id and a hash of ``tie``, null ids last. One in BUCKET of them, chosen by hash, is the
+    first of a bucket, and goes as a guest to the bucket before it too, where the last row finds it. So ids and their
+    gaps don't matter, and rows with equal or null ids fall into many buckets; only rows that are equal in both stay
+    together. Bounds are 16 bytes each and one constant of the plan. A column ``next`` of docs is replaced.
     """
+    order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    key = F.struct(order.alias("o"), F.xxhash64(tie).alias("c"))
     n = docs.count()
-    order = F.coalesce(F.col(id_col), F.lit(-(1 << 63)))
-    keyed = docs.withColumn("order", order)
-    wanted = min(10_000, -(-n // BUCKET))
-    cuts = sorted(set(keyed.where(F.col(id_col).isNotNull()).approxQuantile(id_col, [i / wanted for i in range(1, wanted)], 0.2 / wanted))) if wanted > 1 else []
-    bounds = [int(c) for c in cuts]
-    bucket = F.expr(f"aggregate(array({', '.join(f'{b}L' for b in bounds)}), 0, (a, b) -> a + int(b <= `order`))") if len(bounds) < 16 else _searched(bounds)
-    placed = keyed.withColumn("bucket", bucket)
-    content = F.xxhash64(tie)
-    firsts = placed.groupBy("bucket").agg(F.max(F.struct("order", content.alias("c"))).alias("f")).orderBy(F.desc("bucket")).collect()  # a row a bucket
-    # In descending order a bucket's last row looks to the first of the bucket before it in this list.
-    sent = {r.bucket: (r.f.order, r.f.c, firsts[i - 1].bucket) for i, r in enumerate(firsts)}
-    listed = [sent.get(b) for b in range(len(bounds) + 1)]
-    at = lambda k: F.get(F.array(*(F.lit(x and x[k]).cast("long") for x in listed)), F.col("bucket"))
-    guest = F.when((at(0) == F.col("order")) & (at(1) == content), at(2).cast("int"))
-    both = placed.withColumn("guest", guest).withColumn("place", F.explode(F.expr("if(guest is null, array(struct(bucket as b, false as only)), array(struct(bucket as b, false as only), struct(guest as b, true as only)))")))
-    window = Window.partitionBy("place.b").orderBy(F.col("place.only"), F.desc("order"), F.desc(content))
-    return both.withColumn("next", F.lead(F.struct(*carried)).over(window)).where("not place.only").drop("order", "bucket", "guest", "place")
-
-
-def _searched(bounds: list[int]) -> Column:
-    """How many bounds are at or below ``order``, by comparing with one in sixteen and then within."""
-    listed = F.array(*(F.lit(b) for b in bounds))
-    heads = F.array(*(F.lit(b) for b in bounds[::16]))
-    below = F.size(F.filter(heads, lambda b: b <= F.col("order")))
-    return let(below, lambda h: F.when(h == 0, F.lit(0)).otherwise((h - 1) * 16 + F.size(F.filter(F.slice(listed, (h - 1) * 16 + 1, 16), lambda b: b <= F.col("order")))))
+    chosen = F.when(F.pmod(F.xxhash64("k.c", "k.o"), F.lit(max(BUCKET, -(-n // MOST_BOUNDS)))) == 0, F.col("k"))
+    found = docs.select(key.alias("k")).agg(F.max("k").alias("top"), F.array_sort(F.collect_set(chosen)).alias("bounds")).first()
+    bounds, top = _constant([(b.o, b.c) for b in found.bounds]), _constant([tuple(found.top)] if n else [])
+    whole = docs.drop("next").select(F.struct("*").alias("d"), key.alias("k"))
+    placed = whole.withColumn("bucket", _below(bounds, len(found.bounds), F.col("k")))
+    guest = F.when(F.get(bounds, F.col("bucket")) == F.col("k"), F.struct((F.col("bucket") + 1).alias("b"), F.lit(True).alias("only")))
+    wrap = F.when(F.get(top, F.lit(0)) == F.col("k"), F.struct(F.lit(0).alias("b"), F.lit(True).alias("only")))
+    own = F.struct(F.col("bucket").alias("b"), F.lit(False).alias("only"))
+    both = placed.withColumn("place", F.explode(F.filter(F.array(own, guest, wrap), lambda p: p.isNotNull())))
+    window = Window.partitionBy("place.b").orderBy(F.col("place.only"), F.desc("k.o"), F.desc("k.c"))
+    return both.withColumn("next", F.lead(F.struct(*(F.col(f"d.{c}") for c in carried))).over(window)).where("not place.only").select("d.*", "next")
+
+
+def _constant(pairs: list[tuple[int, int]]) -> Column:
+    """Pairs of longs as an array that is one folded constant."""
+    return F.from_json(F.lit(json.dumps([{"o": o, "c": c} for o, c in pairs])), "array<struct<o: bigint, c: bigint>>")
+
+
+def _below(bounds: Column, n: int, key: Column) -> Column:
+    """How many of n sorted bounds are below key: among every 4096th, then every 64th of those left, then the rest."""
+    smaller = lambda b: b < key
+    every = lambda step: F.transform(F.sequence(F.lit(step - 1), F.lit(n - 1), F.lit(step)), lambda i: F.get(bounds, i)) if n >= step else None
+    within = lambda heads, at: F.lit(0) if heads is None else F.size(F.filter(F.slice(heads, at * 64 + 1, F.lit(64)), smaller))
+    first = F.lit(0) if n < 4096 else F.size(F.filter(every(4096), smaller))
+    if not n:
+        return F.lit(0)
+    return let(first, lambda a: let(a * 64 + within(every(64), a), lambda b: b * 64 + within(bounds, b)))
 
 
 def fingerprints(docs: DataFrame, bins: int = BINS, ell: int = ELL, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,7 +126,8 @@ def fingerprints(docs: DataFrame, bins: int = BINS, ell: int = ELL, k: int = K,
 
     The edited text has its last third replaced by the beginning of the next document's. Null texts count as empty;
     an empty text has a fingerprint of empty bins and is like another such text. Equal texts have equal fingerprints. A
-    single row is its own next document. An empty table gives an empty one.
+    single row is its own next document. Rows of one id follow each other by a hash of their texts, null ids come after
+    all others. Other columns, whatever their names, are left behind. An empty table gives an empty one.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     printed = base.withColumn("p", fingerprint(F.col("text"), bins, ell, k))
