@@ -2,7 +2,10 @@
 
 The parser reads variable-length EBML elements, clusters, simple blocks and
 block groups with all four kinds of lacing, and cues. A packet is one frame:
-track, timestamp, byte range in the file, key flag and place in its lace.
+track, timestamp, byte range in the file, key flag and place in its lace. The
+frames of a lace follow each other by the track's default duration, or by equal
+parts of the group's duration; where a file gives neither they share the block's
+timestamp. A frame of a group is a key frame if the group refers to no other block.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from tideline.llm.common import by_columns, columns_of
 # Element identifiers of the format.
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ_VERSION = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
 SEGMENT, INFO, TIMESTAMP_SCALE, TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, AUDIO, SAMPLING, CHANNELS, BIT_DEPTH = 0x18538067, 0x1549A966, 0x2AD7B1, 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0xE1, 0xB5, 0x9F, 0x6264
+DEFAULT_DURATION, REFERENCE_BLOCK, BLOCK_DURATION = 0x23E383, 0xFB, 0x9B
 CLUSTER, CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 CONTAINERS = {SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_POSITIONS}
 NO_LACE, XIPH, FIXED, EBML_LACE = 0, 1, 2, 3
@@ -64,7 +68,7 @@ def write(samples: bytes) -> bytes:
     head = element(EBML, uint(EBML_VERSION, 1) + uint(EBML_READ_VERSION, 1) + uint(EBML_MAX_ID, 4) + uint(EBML_MAX_SIZE, 8) + element(DOC_TYPE, b"matroska") + uint(DOC_VERSION, 4) + uint(DOC_READ_VERSION, 2))
     info = element(INFO, uint(TIMESTAMP_SCALE, 1_000_000))
     audio = element(AUDIO, element(SAMPLING, struct.pack(">d", RATE)) + uint(CHANNELS, 1) + uint(BIT_DEPTH, 8))
-    tracks = element(TRACKS, element(TRACK_ENTRY, uint(TRACK_NUMBER, 1) + uint(TRACK_UID, 1) + uint(TRACK_TYPE, 2) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio))
+    tracks = element(TRACKS, element(TRACK_ENTRY, uint(TRACK_NUMBER, 1) + uint(TRACK_UID, 1) + uint(TRACK_TYPE, 2) + uint(DEFAULT_DURATION, FRAME * 1_000_000_000 // RATE) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio))
     body, cues, at = [info, tracks], [], len(info) + len(tracks)
     per_cluster = FRAME * LACE * BLOCKS
     for start in range(0, len(samples), per_cluster):
@@ -131,19 +135,27 @@ def _walk(data: bytes, at: int, end: int, media: Media, state: dict) -> None:
             media.tracks.append({})
         elif ident == CUE_POINT:
             state["cue"] = {}
+        elif ident == BLOCK_GROUP:
+            state |= {"first": len(media.packets), "refers": False, "lasts": None}
         if ident in CONTAINERS:
             _walk(data, at, stop, media, state)
+            if ident == BLOCK_GROUP:
+                _settle_group(media, state)
             if ident == CUE_POINT and CUE_TIME in state["cue"]:
                 media.cues.append((state["cue"][CUE_TIME], state["cue"].get(CUE_TRACK, 0), state["cue"].get(CUE_CLUSTER, 0)))
         elif ident in (SIMPLE_BLOCK, BLOCK):
             _frames(data, at, stop, ident == SIMPLE_BLOCK, media, state)
+        elif ident == REFERENCE_BLOCK:
+            state["refers"] = True
+        elif ident == BLOCK_DURATION:
+            state["lasts"] = int.from_bytes(data[at:stop], "big")
         elif ident == CLUSTER_TIMESTAMP:
             state["time"] = int.from_bytes(data[at:stop], "big")
         elif ident == TIMESTAMP_SCALE:
             media.scale = int.from_bytes(data[at:stop], "big")
         elif ident in (CUE_TIME, CUE_TRACK, CUE_CLUSTER):
             state["cue"][ident] = int.from_bytes(data[at:stop], "big")
-        elif media.tracks and ident in (TRACK_NUMBER, TRACK_TYPE, CHANNELS, BIT_DEPTH):
+        elif media.tracks and ident in (TRACK_NUMBER, TRACK_TYPE, DEFAULT_DURATION, CHANNELS, BIT_DEPTH):
             media.tracks[-1][ident] = int.from_bytes(data[at:stop], "big")
         elif media.tracks and ident == CODEC_ID:
             media.tracks[-1][ident] = data[at:stop].decode("ascii", "replace")
@@ -183,11 +195,21 @@ def _frames(data: bytes, at: int, end: int, simple: bool, media: Media, state: d
         if min(sizes) < 0:
             raise ValueError(f"bad lace sizes at byte {at}")
     time = (state["time"] + relative) * media.scale
+    step = next((t[DEFAULT_DURATION] for t in media.tracks if t.get(TRACK_NUMBER) == track and DEFAULT_DURATION in t), 0)
     for i, size in enumerate(sizes):
-        media.packets.append((track, time, at, size, bool(simple and flags & 0x80), kind, i))
+        media.packets.append((track, time + i * step, at, size, bool(simple and flags & 0x80), kind, i))
         at += size
 
 
+def _settle_group(media: Media, state: dict) -> None:
+    """What is known of a group's frames at its end, whatever order its elements had."""
+    own = media.packets[state["first"] :]
+    for k, (track, time, at, size, _, kind, i) in enumerate(own):
+        if state["lasts"] and len({p[1] for p in own}) == 1:
+            time += i * state["lasts"] * media.scale // len(own)
+        media.packets[state["first"] + k] = (track, time, at, size, not state["refers"], kind, i)
+
+
 def payload(data: bytes, media: Media, track: int = 1) -> bytes:
     """The stored samples of a track, read back by the packets' byte ranges."""
     view = memoryview(data)
@@ -233,7 +255,11 @@ def feature(media: Media, samples: bytes) -> str:
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the text stored as a Matroska file (column media), with n_bytes. Null text: empty, stored as 64 bytes 0."""
+    """doc_id and the text stored as a Matroska file (column media), with n_bytes. Null text: empty, stored as 64 bytes 0.
+
+    A row each, repeated rows and null ids too; other columns, whatever their names, are left behind; an empty table gives
+    an empty one. A worker holds the samples and the file of one very long text at a time.
+    """
 
     def rows(idents: list, texts: list) -> list:
         made = [text_payload(t) for t in texts]
@@ -243,11 +269,15 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def read_features(media: DataFrame) -> DataFrame:
-    """Of each stored file: digests of the payload as read back by the packet table, of the file, and the feature."""
+    """Of each stored file: digests of the payload as read back by the packet table, of the file, and the feature.
+
+    media has doc_id, n_bytes and media, as ``store_texts`` gives them; a null file is read as one without packets.
+    """
 
     def rows(idents: list, lengths: list, files: list) -> list:
         out = []
         for ident, n, data in zip(idents, lengths, files, strict=True):
+            data = data or b""
             found = parse(data)
             back = payload(data, found)
             out.append((ident, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature(found, back)))
