@@ -67,3 +67,46 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {90: 90, 95: 90, 100: 90}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_copies(n, seed=5):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_near_copies_cost_in_proportion(frame, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_CAP", 16)
+    monkeypatch.setattr(jaccard_join, "PARTS_CAP", 16)
+    moved = []
+    given = jaccard_join._grouped
+    monkeypatch.setattr(jaccard_join, "_grouped", lambda rows, *a: (moved.append(rows.count()), given(rows, *a))[1])
+    for n in (100, 400):
+        moved.append(0)
+        got = {r.doc_id: r.component_id for r in ngram_jaccard_join(frame(near_copies(n)), 3, 90, 100).collect()}
+        assert set(got.values()) == {0} and len(got) == n
+    cut = len(moved) - 1 - moved[::-1].index(0)
+    assert sum(moved[cut:]) < 5 * sum(moved[:cut])  # four times the rows
+
+
+def test_a_block_of_many_components(frame, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "bands_for", lambda *_: 30)
+    monkeypatch.setattr(jaccard_join, "BLOCK_CAP", 4)
+    monkeypatch.setattr(jaccard_join, "PARTS_CAP", 4)
+    rng = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(i, f"{shared} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(3 + i % 40))}") for i in range(120)]
+    rows += [(200 + i, rows[i][1] + " tail") for i in range(0, 120, 5)]
+    rows += [(400, "word " * 20_000), (401, " ".join(f"q{i}" for i in range(20_000))), (402, " ".join(f"q{i}" for i in range(19_500)))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(frame(rows), 3, 90, 100).collect()}
+    assert got == brute.components(rows, 3, 90, 100)
+
+
+def test_columns_of_the_operators_own_names(spark):
+    rows = spark.createDataFrame([(1, "a b c d", 3, "x", 9), (2, "a b c d", 4, "y", 8)], "doc_id long, text string, cluster int, z string, component_id int")
+    assert sorted(map(tuple, ngram_jaccard_join(rows, 3, 90, 100).collect())) == [(1, 2, 1), (2, 2, 1)]

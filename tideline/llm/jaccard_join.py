@@ -11,16 +11,16 @@ are one class, so copies never meet. Trees find the links between classes:
    the range of their sizes. A dual traversal from the root with itself drops
    each pair of nodes whose greatest possible overlap is below what the
    threshold needs. What is left links classes into clusters, a superset of
-   all true links, of which each task keeps stars around its components' least members.
+   all true links.
 3. Fine trees. Each cluster's texts meet once, in trees with bitmaps of all
    tokens; pairs that the traversal leaves are compared set by set. Pairs that
    are connected already are skipped, as components are the result.
 
-Blocks and clusters have no bound, tasks do: a block or cluster of more than
-``cap`` members is dealt into parts, and each two parts meet. Clusters first
-join within parts, then one member for each component of a part; parts are then
-formed anew by component, and two parts of one component need not meet, so a
-cluster of near copies costs in proportion to its size.
+Blocks and clusters have no bound, tasks do, so both go in rounds: members meet
+within parts of a bounded size; then one member for each component of a part,
+again and again while there are parts; then parts that are formed anew by
+component and by size. Two parts of one component need not meet, nor two whose
+sizes are too far apart, so near copies cost in proportion to their number.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns, release, stored, texts, to_batch
+from tideline.llm.common import by_columns, discard, release, small_batches, stored, texts, to_batch
 from tideline.llm.components import components
 from tideline.llm.substrings import squeezed
 
@@ -231,6 +231,7 @@ def _grouped(rows: DataFrame, keys: list[str], made: Callable[[pa.Table], list],
             yield to_batch(made(held), fields)
         release()
 
+    small_batches(rows.sparkSession)
     return dealt.mapInArrow(run, schema)
 
 
@@ -242,59 +243,55 @@ def _group_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _met(rows: DataFrame, by: str, count: str, member: str, cap: int) -> DataFrame:
-    """rows with their groups of more than cap members dealt into parts: columns i and j, the two parts that meet, and part."""
-    parts = F.ceil(F.col(count) / cap).cast("int")
-    dealt = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64(member), "parts").cast("int"))
-    met = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return met.withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o")).drop("o", "parts")
+Meet = Callable[[DataFrame, list[str]], DataFrame]
 
 
-def _coarse_links(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that connect what the pairs of classes do that the coarse trees can't rule out: stars in each task."""
-    keyed = classes.select("doc_id", "n_shingles", "map", "sampled", F.posexplode("keys").alias("band", "key")).withColumn("block", F.xxhash64("band", "key")).drop("band", "key")
-    counts = stored(keyed.groupBy("block").agg(F.count("*").alias("members")).where("members > 1"), "blocks")
-    large = counts.where(f"members > {BLOCK_CAP}")
-    if large.count() <= FEW:
-        large = F.broadcast(large)
-    every = keyed.join(large, "block", "left").withColumn("members", F.coalesce("members", F.lit(1)))
-    met = _met(every, "block", "members", "doc_id", BLOCK_CAP).select("block", "i", "j", "part", "doc_id", "n_shingles", "map", "sampled")
+def _coarse(rows: DataFrame, keys: list[str], by: str, num: int, den: int) -> DataFrame:
+    """by, doc_id, comp, least: rows whose component, as far as bitmaps can't rule it out, has a lesser comp than theirs."""
 
     def made(table: pa.Table) -> list:
-        groups = _group_numbers(table, ["block", "i", "j"])
-        keep = np.flatnonzero(np.bincount(groups)[groups] > 1)
-        if not len(keep):
-            return [[], []]
-        table, groups = table.take(pa.array(keep)), groups[keep]
-        ids = table.column("doc_id").to_numpy()
+        groups = _group_numbers(table, keys)
+        at = np.flatnonzero(np.bincount(groups)[groups] > 1)
+        if not len(at):
+            return [[], [], [], []]
+        table, owner = table.take(pa.array(at)), groups[at]
+        ids, comps = table.column("doc_id").to_numpy(), table.column("comp").to_numpy()
         maps = np.frombuffer(b"".join(table.column("map").to_pylist()), np.uint64).reshape(len(ids), -1)
-        crossed = table.column("i").to_numpy() != table.column("j").to_numpy()
-        labels = np.where(crossed, table.column("part").to_numpy(), -1)
-        forest = Forest(groups, table.column("n_shingles").to_numpy(), maps, table.column("sampled").to_numpy(), labels)
-        names, number = np.unique(ids, return_inverse=True)
-        union = Union(len(names))
+        labels = _labels(owner, comps)
+        union = Union(int(labels.max()) + 1)
+        forest = Forest(owner, table.column("n_shingles").to_numpy(), maps, table.column("sampled").to_numpy(), labels)
         for a, b in forest.pairs(num, den):
-            for x, y in zip(number[a].tolist(), number[b].tolist(), strict=True):
+            for x, y in zip(labels[a].tolist(), labels[b].tolist(), strict=True):
                 union.join(x, y)
-        # Each to the least of its component here: tasks that see one group in different blocks give the same links.
-        root = np.array([union.find(x) for x in range(len(names))], np.int64)
-        far = np.flatnonzero(root != np.arange(len(names)))
-        return [names[far], names[root[far]]]
+        least = _least(union, labels, comps)
+        far = np.flatnonzero(least < comps)
+        return [table.column(by).to_numpy()[far], ids[far], comps[far], least[far]]
+
+    return _grouped(rows.select(*dict.fromkeys([*keys, by, "doc_id", "comp", "n_shingles", "map", "sampled"])), keys, made, f"{by} long, doc_id long, comp long, least long")
+
 
-    return _grouped(met, ["block", "i", "j"], made, "a long, b long")
+def _labels(owner: np.ndarray, comps: np.ndarray) -> np.ndarray:
+    """A number for each group's component: its rows are one from the start."""
+    return np.unique(np.stack([owner, comps]), axis=1, return_inverse=True)[1].reshape(-1)
 
 
-def _fine(rows: DataFrame, keys: list[str], n: int, num: int, den: int) -> DataFrame:
-    """doc_id, comp: the least comp that a row's component within its group has. Rows with one comp are linked already."""
+def _least(union: Union, labels: np.ndarray, comps: np.ndarray) -> np.ndarray:
+    root = np.array([union.find(x) for x in labels.tolist()], np.int64)
+    least = np.full(len(union.up), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, comps)
+    return least[root]
+
+
+def _fine(rows: DataFrame, keys: list[str], by: str, n: int, num: int, den: int) -> DataFrame:
+    """The same by comparing the texts' sets."""
 
     def made(table: pa.Table) -> list:
         groups = _group_numbers(table, keys)
-        ids, comps = table.column("doc_id").to_numpy(), table.column("comp").to_numpy()
-        lone = np.bincount(groups)[groups] < 2
+        ids, comps, of = (table.column(c).to_numpy() for c in ("doc_id", "comp", by))
         press = zstandard.ZstdDecompressor()
         pressed = table.column("z").to_pylist()
         out = []
-        at = np.flatnonzero(~lone)
+        at = np.flatnonzero(np.bincount(groups)[groups] > 1)
         begin = 0
         while begin < len(at):  # whole groups, up to about FEW_TEXTS at a time
             end = int(np.searchsorted(groups[at], groups[at[begin + FEW_TEXTS]], "right")) if begin + FEW_TEXTS < len(at) else len(at)
@@ -303,9 +300,7 @@ def _fine(rows: DataFrame, keys: list[str], n: int, num: int, den: int) -> DataF
             tokens, first = shingles([press.decompress(pressed[r]) for r in rows], n)
             sizes = np.diff(first)
             owner = groups[rows]
-            # Rows of one component within a group are one from the start.
-            _, labels = np.unique(np.stack([owner, comps[rows]]), axis=1, return_inverse=True)
-            labels = labels.reshape(-1)
+            labels = _labels(owner, comps[rows])
             union = Union(int(labels.max()) + 1)
             forest = Forest(owner, sizes, bitmaps(tokens, first, FINE_BITS), sizes, labels)
             for a, b in forest.pairs(num, den):
@@ -315,48 +310,78 @@ def _fine(rows: DataFrame, keys: list[str], n: int, num: int, den: int) -> DataF
                         common = len(np.intersect1d(tokens[first[x] : first[x + 1]], tokens[first[y] : first[y + 1]], assume_unique=True))
                         if den * common >= num * (sizes[x] + sizes[y] - common):
                             union.join(p, q)
-            root = np.array([union.find(x) for x in labels])
-            least = np.full(len(union.up), np.iinfo(np.int64).max)
-            np.minimum.at(least, root, comps[rows])
-            out.append((ids[rows], comps[rows], least[root]))
-        return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+            least = _least(union, labels, comps[rows])
+            far = np.flatnonzero(least < comps[rows])
+            out.append((of[rows][far], ids[rows][far], comps[rows][far], least[far]))
+        return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
+
+    return _grouped(rows.select(*dict.fromkeys([*keys, by, "doc_id", "comp", "z"])), keys, made, f"{by} long, doc_id long, comp long, least long")
+
+
+def _dealt(rows: DataFrame, by: list[str], cap: int, turn: int = 0) -> DataFrame:
+    """rows with members (of their group) and part: groups of more than cap members in parts of about cap."""
+    sizes = stored(rows.groupBy(*by).agg(F.count("*").alias("members")).where(f"members > {cap}"), "sizes")
+    small = F.broadcast(sizes) if sizes.count() <= FEW else sizes
+    found = rows.join(small, by, "left").withColumn("members", F.coalesce("members", F.lit(1)))
+    return found.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.ceil(F.col("members") / cap)).cast("int"))
+
+
+def _in_rounds(rows: DataFrame, by: str, cap: int, num: int, den: int, meet: Meet) -> DataFrame:
+    """Links (a, b), of comps, that connect what ``meet`` links within the groups of ``by``. rows: by, doc_id, n_shingles and more."""
+    links = lambda d: d.select(F.col("comp").alias("a"), F.col("least").alias("b"))
+    rows = _dealt(rows, [by], cap).withColumn("comp", F.col("doc_id"))
+    one = stored(meet(rows, [by, "part"]), "within")
+    split = stored(rows.where(f"members > {cap}").drop("comp", "members", "part"), "split")
+    if split.isEmpty():
+        return links(one)
+    after = split.join(one.select(by, "doc_id", F.col("least").alias("comp")), [by, "doc_id"], "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    after = stored(after, "after")
+    # One member for each component of a part, again while there are parts and members become half as many at least.
+    heads, turns = after.where("doc_id = comp"), []
+    n = heads.count()
+    while n:
+        dealt = _dealt(heads, [by], cap, len(turns) + 1)
+        turns.append(stored(meet(dealt, [by, "part"]).select(by, "comp", "least").distinct(), "heads"))
+        heads = stored(dealt.where(f"members > {cap}").drop("members", "part").join(turns[-1], [by, "comp"], "left_anti"), "left")
+        before, n = n, heads.count()
+        if 2 * n > before:
+            break
+    joined = after
+    for turn in turns:
+        joined = joined.join(turn, [by, "comp"], "left").withColumn("comp", F.coalesce("least", "comp")).drop("least")
+    joined = stored(joined, "joined")
+    discard(split, after)
+    # Groups of several components: parts anew, of one component each as far as it fills them, and of one cell of sizes.
+    # Sizes that the threshold allows together lie in one cell or in neighbours.
+    several = stored(joined.groupBy(by).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select(by), "several")
+    found = links(one)
+    for turn in turns:
+        found = found.unionByName(links(turn))
+    if several.isEmpty():
+        return found
+    mixed = joined.join(several, by)
+    known = stored(mixed.groupBy(by, "comp").agg((F.count("*") >= cap).alias("pure")), "known")
+    cell = F.floor(F.log(F.col("n_shingles").cast("double")) / (-math.log(num / den) * 1.0001)).cast("int")
+    mixed = mixed.join(known, [by, "comp"]).withColumn("kind", F.when(F.col("pure"), F.col("comp")).otherwise(F.lit(0))).withColumn("cell", cell)
+    parts = stored(_dealt(mixed, [by, "pure", "kind", "cell"], cap).drop("members"), "parts")
+    names = ["pure", "kind", "cell", "part"]
+    listed = parts.select(by, F.struct(*names).alias("p")).distinct()
+    met = listed.join(listed.withColumnRenamed("p", "q"), by).where("p <= q and abs(p.cell - q.cell) <= 1 and not (p.pure and q.pure and p.kind = q.kind)")
+    meeting = F.xxhash64(by, "p", "q").alias("meeting")
+    sides = met.select(by, "p.*", meeting).unionByName(met.where("p <> q").select(by, "q.*", meeting))
+    three = stored(meet(parts.join(sides, [by, *names]), ["meeting"]), "across")
+    return found.unionByName(links(three))
 
-    return _grouped(rows.select(*keys, "doc_id", "comp", "z"), keys, made, "doc_id long, comp long, least long")
 
-
-def _dealt(rows: DataFrame, by: str, member: str) -> DataFrame:
-    """rows with part: groups of ``by`` dealt into parts of about PARTS_CAP."""
-    sizes = rows.groupBy(by).agg(F.count("*").alias("members"))
-    return rows.join(sizes, by).withColumn("part", F.pmod(F.xxhash64(member), F.ceil(F.col("members") / PARTS_CAP)).cast("int"))
+def _coarse_links(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that connect what the pairs of classes do that the coarse trees can't rule out."""
+    keyed = classes.select("doc_id", "n_shingles", "map", "sampled", F.posexplode("keys").alias("band", "key")).withColumn("block", F.xxhash64("band", "key")).drop("band", "key")
+    return _in_rounds(keyed, "block", BLOCK_CAP, num, den, lambda rows, keys: _coarse(rows, keys, "block", num, den))
 
 
 def _fine_links(clustered: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) of components of clustered (cluster, doc_id, z), enough to connect all that belong together."""
-    # Within parts, then one member for each component of a part.
-    rows = _dealt(clustered, "cluster", "doc_id").withColumn("comp", F.col("doc_id"))
-    one = stored(_fine(rows, ["cluster", "part"], n, num, den), "within")
-    split = rows.where(f"members > {PARTS_CAP}").drop("comp")
-    after = split.join(one.select("doc_id", F.col("least").alias("comp")), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    after = stored(after.select("cluster", "doc_id", "comp", "z"), "split")
-    heads = _dealt(after.where("doc_id = comp"), "cluster", "doc_id")
-    two = stored(_fine(heads, ["cluster", "part"], n, num, den).select(F.col("comp").alias("comp"), "least").distinct(), "heads")
-    # Parts anew, of one component each as far as it fills them, the rest together; then all parts that differ.
-    joined = after.join(two, "comp", "left").withColumn("comp", F.coalesce("least", "comp")).drop("least")
-    known = joined.groupBy("cluster", "comp").agg(F.count("*").alias("own"))
-    joined = joined.join(known, ["cluster", "comp"])
-    pure = F.when(F.col("own") >= PARTS_CAP, F.col("comp"))
-    parts = joined.withColumn("pure", pure).withColumn("kind", F.coalesce("pure", F.lit(-1)))
-    counts = parts.groupBy("cluster", "kind").agg(F.count("*").alias("kin"))
-    parts = parts.join(counts, ["cluster", "kind"]).withColumn("part", F.struct("kind", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("kin") / PARTS_CAP)).cast("int").alias("k")))
-    parts = stored(parts.select("cluster", "kind", "part", "doc_id", "comp", "z"), "parts")
-    listed = parts.groupBy("cluster", "kind", "part").agg(F.count("*").alias("n"))
-    left, right = listed.select("cluster", F.col("kind").alias("ka"), F.col("part").alias("pa")), listed.select("cluster", F.col("kind").alias("kb"), F.col("part").alias("pb"))
-    met = left.join(right, "cluster").where("pa <= pb and not (ka = kb and ka >= 0)")
-    sides = met.select("cluster", F.col("pa").alias("part"), "pa", "pb").unionByName(met.where("pa <> pb").select("cluster", F.col("pb").alias("part"), "pa", "pb"))
-    sides = sides.withColumn("meeting", F.xxhash64("cluster", "pa", "pb")).select("cluster", "part", "meeting")
-    three = _fine(parts.join(sides, ["cluster", "part"]), ["meeting"], n, num, den)
-    links = lambda d: d.where("comp <> least").select(F.col("comp").alias("a"), F.col("least").alias("b"))
-    return links(one).unionByName(links(two)).unionByName(links(three))
+    """Links of components of clustered (cluster, doc_id, n_shingles, z), enough to connect all that belong together."""
+    return _in_rounds(clustered, "cluster", PARTS_CAP, num, den, lambda rows, keys: _fine(rows, keys, "cluster", n, num, den))
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -365,21 +390,23 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     Two documents link if den * intersection >= num * union of their sets of n-word shingles. A text of fewer words
     has the whole sequence as its one shingle; a null or empty one, or one without words, has an empty set and no links.
     Rows with a null id have a null component and take no part; rows with equal ids are one document, so whatever links
-    one links all. An empty table gives an empty one.
+    one links all. An empty table gives an empty one. Other columns, whatever their names, are left behind. Very long
+    texts are read in stretches, but a worker holds the shingles of one at a time.
     """
     base = texts(docs, id_col, text_col)
     sets = stored(_sets(base, n, bands_for(num / den)), "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
-    kinds = full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
+    kinds = stored(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "kinds")
     members = stored(full.select("doc_id", "f1", "f2").join(kinds, ["f1", "f2"]).select("doc_id", "rep"), "members")
+    discard(kinds)
     # One row for each class: of its member with the least id.
     classes = full.join(members.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     clusters = components(_coarse_links(classes, num, den))
-    wanted = clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))
+    wanted = clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).join(classes.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
     clustered = stored(squeezed(base.where("doc_id is not null"), F.col("text"), ["doc_id"]).join(wanted, "doc_id"), "clustered")
     # Rows with one id and several sets tie those sets' classes together.
-    tied = members.groupBy("doc_id").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where("size(reps) > 1")
-    tied = tied.select(F.explode(F.expr("slice(reps, 2, size(reps) - 1)")).alias("a"), F.expr("reps[0]").alias("b"))
+    tied = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("doc_id", "b")
+    tied = members.join(tied, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     links = _fine_links(clustered, n, num, den).unionByName(tied)
     roots = components(links)
     found = members.join(roots, members["rep"] == roots["node"], "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"))
