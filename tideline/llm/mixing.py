@@ -25,13 +25,13 @@ GOLDEN = 0.6180339887498949
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 BLOCK = 2048  # words a slot
 CHUNK = 4096  # slots, or documents on average, that are ranked together
-MOST_SOURCES = 10_000  # checked, since the source table is broadcast
+FEW_SOURCES = 10_000  # of up to so many the source table is broadcast, else joined by a shuffle
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source and size: words of the text, 0 for null."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *more: Column) -> DataFrame:
+    """doc_id, source and size: words of the text, 0 for null; and more columns."""
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), *more)
 
 
 def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -88,20 +88,23 @@ def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
     passes = F.floor(F.col("words") / F.col("source_size"))
     part = F.col("words") - passes * F.col("source_size")
     per = per.withColumn("need", (passes * F.col("blocks") + F.ceil(part * F.col("blocks") / F.col("source_size"))).cast("long"))
-    shares = sorted(per.select("upto", "key", "need").limit(MOST_SOURCES + 1).collect())
-    if len(shares) > MOST_SOURCES:
-        raise ValueError(f"there are more than {MOST_SOURCES} sources")
-    n = int(sum(s.need for s in shares) * 1.02) + 64 if shares else 0
-    points = spark.range(n).withColumn("point", F.expr(f"(id * {GOLDEN!r}D) - floor(id * {GOLDEN!r}D)") * F.lit(shares[-1].upto if shares else 0.0))
-    bounds = F.array(*(F.struct(F.lit(s.upto).alias("upto"), F.lit(s.key).alias("key")) for s in shares)) if shares else F.array(F.struct(F.lit(0.0).alias("upto"), F.lit("").alias("key")))
-    placed = points.select(F.col("id").alias("slot"), F.get(F.filter(bounds, lambda b: b["upto"] > F.col("point")), F.lit(0))["key"].alias("key")).where("key is not null")
+    per = per.withColumn("from", F.lag("upto", 1, 0.0).over(Window.orderBy("upto", "key")))
+    total = per.agg(F.count("*").alias("sources"), F.coalesce(F.sum("need"), F.lit(0)).alias("need"), F.coalesce(F.max("upto"), F.lit(0.0)).alias("upto")).first()
+    n = int(total.need * 1.02) + 64 if total.sources else 0
+    # A point finds its source among those that share its cell, one of as many equal parts of the whole as there are sources.
+    cell = lambda x: F.floor(x * (total.sources / (total.upto or 1.0))).cast("long")
+    cells = per.select("key", "from", "upto", F.explode(F.sequence(cell(F.col("from")), cell(F.col("upto")))).alias("cell"))
+    few = total.sources <= FEW_SOURCES
+    small = F.broadcast if few else lambda d: d
+    points = spark.range(n).select(F.col("id").alias("slot"), (F.expr(f"(id * {GOLDEN!r}D) - floor(id * {GOLDEN!r}D)") * F.lit(total.upto)).alias("point")).withColumn("cell", cell(F.col("point")))
+    placed = points.join(small(cells), "cell").where("point >= `from` and point < upto").select("slot", "key")
     chunked = placed.withColumn("chunk", F.floor(F.col("slot") / CHUNK))
     counts = chunked.groupBy("key", "chunk").agg(F.count("*").alias("n"))
     base = counts.select("key", "chunk", (F.sum("n").over(Window.partitionBy("key").orderBy("chunk")) - F.col("n")).alias("base"))
     ranked = chunked.withColumn("inner", F.row_number().over(Window.partitionBy("key", "chunk").orderBy("slot"))).join(base, ["key", "chunk"]).select("slot", "key", (F.col("base") + F.col("inner") - 1).alias("rank"))
     had = counts.groupBy("key").agg(F.sum("n").alias("had"))
     late = per.join(had, "key", "left").where("need > coalesce(had, 0)").select(F.lit(n).cast("long").alias("slot"), "key", F.explode(F.expr("sequence(coalesce(had, 0L), need - 1)")).alias("rank"))
-    slots = ranked.unionByName(late).join(F.broadcast(per.select("key", "need", "words", "blocks", "source_size")), "key").where("rank < need")
+    slots = ranked.unionByName(late).join(small(per.select("key", "need", "words", "blocks", "source_size")), "key").where("rank < need")
     turn, number = F.floor(F.col("rank") / F.col("blocks")), F.pmod("rank", "blocks")
     edge = lambda b: F.floor(b * F.col("source_size") / F.col("blocks"))
     begin, end = edge(number), edge(number + 1)
@@ -110,22 +113,26 @@ def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target (the source's) and taken: words of the document that the mix takes, repeats counted.
+    """doc_id, source, size, source_size, target (the source's), taken: words of the document that the mix takes, repeats counted,
+    and first_slot: where in the schedule it is first taken, null if it isn't.
 
     Null texts, and texts without words, have size 0 and give nothing. A null source is a source of its own, last in
-    order. Sources without words have target 0. Ids should be distinct; rows with equal ids count each for itself. An
+    order. Sources without words have target 0. Rows with equal or null ids count each for itself; of equal rows, which
+    is taken oftener is open. Other columns, whatever their names, are left behind. Very long texts span many blocks. An
     empty table gives an empty one.
     """
     return _mixed(sizes(docs, id_col, text_col, source_col), weights, share, cap, block)
 
 
-def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, text_col: str = "text") -> DataFrame:
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: docs's rows as often as the mix takes them, the last time in part if it needs only their first words.
 
     Columns are those of docs; n_chars follows the text, if there is one. Words of a text taken in part are joined by
-    single spaces. Rows that the mix doesn't take are left out.
+    single spaces. Rows that the mix doesn't take are left out, as are null texts and those without words. Other columns
+    go along, whatever their names.
     """
-    found = _mixed(_with_rest(docs), weights, share, cap, block, carried=["rest"])
+    sized = sizes(docs, id_col, text_col, source_col, F.struct("*").alias("rest"))
+    found = _mixed(sized, weights, share, cap, block, carried=["rest"])
     text = F.col(f"rest.{text_col}")
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
     turns = found.where("taken > 0").withColumn("turn", F.explode(F.sequence(F.lit(1), times)))
@@ -136,11 +143,6 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     return cut.select(*named)
 
 
-def _with_rest(docs: DataFrame) -> DataFrame:
-    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.struct("*").alias("rest"))
-
-
 def _mixed(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, block: int, carried: list[str] | None = None) -> DataFrame:
     """carried: columns of sized that go along to the result; they move once, by row."""
     sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
@@ -148,14 +150,15 @@ def _mixed(sized: DataFrame, weights: tuple[float, ...], share: float, cap: floa
     plan = stored(targets(light.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
     slots = schedule(plan, block)
     # A block is used once or a few times; equal uses of a block are one row with their number.
-    uses = slots.groupBy("key", "block", "begin", "end").agg(F.count("*").alias("uses"))
+    uses = slots.groupBy("key", "block", "begin", "end").agg(F.count("*").alias("uses"), F.min("slot").alias("slot"))
     per = plan.select(_key().alias("key"), "source_size", "target", F.greatest(F.lit(1), F.round(F.col("source_size") / block)).cast("long").alias("blocks"))
-    placed = streams(light, sized.count()).join(F.broadcast(per), "key")
+    small = F.broadcast if plan.count() <= FEW_SOURCES else lambda d: d
+    placed = streams(light, sized.count()).join(small(per), "key")
     first = F.floor(F.col("at") * F.col("blocks") / F.col("source_size"))
     last = F.floor((F.col("at") + F.col("size") - 1) * F.col("blocks") / F.col("source_size"))
     # Block b begins at floor(b * size / blocks): one more block at either side allows for that rounding.
     pieces = placed.where("size > 0").select("row", "key", "at", "size", F.explode(F.sequence(F.greatest(first - 1, F.lit(0)), F.least(last + 1, F.col("blocks") - 1))).alias("block"))
     overlap = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), F.col("end")) - F.greatest("at", "begin"))
-    taken = pieces.join(uses, ["key", "block"]).groupBy("row").agg(F.sum(overlap * F.col("uses")).cast("long").alias("taken"))
-    out = sized.withColumn("key", _key()).join(F.broadcast(per), "key").join(taken, "row", "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *(carried or []))
+    taken = pieces.join(uses, ["key", "block"]).groupBy("row").agg(F.sum(overlap * F.col("uses")).cast("long").alias("taken"), F.min(F.when(overlap > 0, F.col("slot"))).alias("first_slot"))
+    out = sized.withColumn("key", _key()).join(small(per), "key").join(taken, "row", "left")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", *(carried or []))
