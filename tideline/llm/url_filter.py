@@ -97,7 +97,7 @@ def lookups(host: str, path: str, lengths: list[int]) -> list[str]:
     return sorted((h + path[:n] for h in hosts for n in lengths if n <= len(path)), key=len, reverse=True)
 
 
-def filter_urls(pages: DataFrame, rules: Mapping[tuple[str, str], str] = RULES, default: str = "allow", url_col: str = "url", rate: float | None = None, max_bytes: int = 8 << 20) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Mapping[tuple[str, str], str] = RULES, default: str = "allow", url_col: str = "url", rate: float | None = None, max_bytes: int = 8 << 20, most_misses: int = 100_000) -> DataFrame:
     """pages with host, path, rule (the longest that fits, else null) and verdict (the rule's, else ``default``).
 
     Null URLs and those without ``://`` have empty host and path, fit no rule and get ``default``. Repeated rows
@@ -106,7 +106,9 @@ def filter_urls(pages: DataFrame, rules: Mapping[tuple[str, str], str] = RULES,
 
     ``rate`` is the first level's share of false positives. By default it is listed / (sqrt(2) * universe), the
     universe taken as 16 lookups a URL, so that all levels together take O(log(universe / listed)) bits a listed
-    key, however large the corpus.
+    key, however large the corpus: about 0.7 false positives a listed key are then sent to the driver. More than
+    ``most_misses`` raise, as no cascade of that size would be small. Very long URLs cost a look-up for each dot of their
+    host; rules of one length are equally near, so no two can tie.
     """
     listed = {verdict: [h + p for (h, p), v in rules.items() if v == verdict] for verdict in sorted(set(rules.values()))}
     lengths = sorted({len(p) for _, p in rules})
@@ -122,12 +124,12 @@ def filter_urls(pages: DataFrame, rules: Mapping[tuple[str, str], str] = RULES,
             yield pd.DataFrame(found, columns=["verdict", "key"])
 
     urls = pages.select(F.col(url_col).cast("string").alias(url_col))
-    room = max_bytes  # a key in a level takes at least a bit, so this many can't be exceeded within max_bytes
-    misses = urls.mapInPandas(wrong, "verdict string, key string").distinct().limit(8 * room + 1)
+    misses = urls.mapInPandas(wrong, "verdict string, key string").distinct().limit(most_misses + 1).collect()
+    if len(misses) > most_misses:
+        raise ValueError(f"the first level lets more than {most_misses} keys through; give a lower rate")
     outside: dict[str, list[str]] = {v: [] for v in listed}
-    for row in misses.toLocalIterator():
+    for row in misses:
         outside[row.verdict].append(row.key)
-    _check_size(sum(map(len, outside.values())) // 8, max_bytes)
     filters = {v: cascade(listed[v], sorted(outside[v]), first[v]) for v in listed}
     _check_size(sum(c.n_bytes for c in filters.values()), max_bytes)
 
