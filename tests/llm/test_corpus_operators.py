@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from tideline.llm.mixing import GOLDEN, mix, mixed_rows, schedule, targets
 from tideline.llm.order_minhash import fingerprint, fingerprints, with_next
@@ -176,15 +177,82 @@ def test_order_counts(spark, frame):
     assert p[1] != p[3]  # one set of words, another order
 
 
-@pytest.mark.parametrize("bucket", [1, 3, 1000])
-def test_next_across_buckets(frame, monkeypatch, bucket):
+@pytest.mark.parametrize(("bucket", "n"), [(1, 90), (3, 90), (1000, 90), (1, 5000)])
+def test_next_across_buckets(spark, monkeypatch, bucket, n):
     monkeypatch.setattr("tideline.llm.order_minhash.BUCKET", bucket)
-    ids = random.Random(bucket).sample(range(-500, 10_000), 90)
-    got = {r.doc_id: r.next.text for r in with_next(frame([(i, f"t{i}") for i in ids]), ["text"]).collect()}
+    ids = random.Random(bucket).sample(range(-500, 10_000), n)
+    rows = spark.createDataFrame([(i, f"t{i}", 1, 2, 3) for i in ids], "doc_id long, text string, bucket int, place int, next int")
+    got = {r.doc_id: r.next.text for r in with_next(rows, ["text"]).collect()}
     order = sorted(ids, reverse=True)
     assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
 
 
+def test_next_of_equal_and_null_ids(frame, monkeypatch):
+    monkeypatch.setattr("tideline.llm.order_minhash.BUCKET", 5)
+    rows = [(1, f"a{i}") for i in range(300)] + [(None, f"b{i}") for i in range(300)] + [(2, "c"), (2, "c"), (3, "d")]
+    got = Counter((r.doc_id, r.text, r.next.text) for r in with_next(frame(rows), ["text"]).collect())
+    assert sum(got.values()) == len(rows) and Counter(n for _, _, n in got.elements()) == Counter(t for _, t in rows)
+    after = {(i, t): n for i, t, n in got}
+    assert after[3, "d"] == "c" and sorted(n for (i, t, n), k in got.items() for _ in range(k) if i == 2) == sorted(["c", after[2, "c"] if after[2, "c"] != "c" else next(n for i, t, n in got if i == 2 and n != "c")])
+    seen, at = set(), "d"
+    links = {t: n for (i, t, n) in got if t != n}
+    while at not in seen:  # one ring through all texts
+        seen.add(at)
+        at = links[at]
+    assert len(seen) == 602
+
+
+def test_mix_of_many_sources_and_clashing_columns(spark, monkeypatch):
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 150}", 5, "key", 1) for i in range(900)] + [(5, "w w", "s5", 5, "key", 1)] * 3
+    docs = spark.createDataFrame(rows, "id long, body string, origin string, size int, key string, block int")
+    given = lambda: sorted(map(tuple, mix(docs, block=3, id_col="id", text_col="body", source_col="origin").drop("first_slot").collect()))
+    few = given()
+    monkeypatch.setattr("tideline.llm.mixing.FEW_SOURCES", 10)
+    assert given() == few and len(few) == 903
+    out = mixed_rows(docs, block=3, id_col="id", text_col="body", source_col="origin")
+    words = Counter()
+    for r in out.collect():
+        words[r.id] += len(r.body.split())
+    taken = Counter()
+    for r in few:
+        taken[r[0]] += r[5]
+    assert out.columns == docs.columns and words == Counter({k: v for k, v in taken.items() if v})
+
+
+def test_first_slots_follow_the_schedule(spark):
+    docs = spark.createDataFrame(documents(3), MIX)
+    got = [r for r in mix(docs, block=64).collect() if r.taken]
+    assert all(r.first_slot is not None for r in got)
+    early = Counter(r.source for r in got if r.first_slot < 40)
+    assert len(early) >= 4  # every stretch has all of the larger sources
+
+
+EDGES = [(1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, " \n", "en", None, 2), (None, "calm words in a row that go on for a while", "en", "b", 43), (None, "calm words in a row that go on for a while", "en", "b", 43), (None, "other words for a row without an id at all", "en", "b", 43), (5, "calm words of five, with the same id twice", "en", "b", 43), (5, "quite another text that has the id five too", "en", "b", 43), (6, "long word " * 40_000, "en", "c", 400_000)]
+
+
+def test_pipeline_stages_on_edges(spark):
+    import corpus_pipeline
+
+    sf, stages = f"{DATA}/sf0.001", dict(corpus_pipeline.STAGES)
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    wide = StructType([*source.schema.fields, StructField("score", DoubleType()), StructField("row", StringType()), StructField("z", IntegerType())])
+    docs = spark.createDataFrame([(*r, None, "x", 1) for r in EDGES], wide)
+    cut = lambda rows: sorted(((r.doc_id, (r.text or "")[:30], r.z) for r in rows), key=repr)
+    given = cut(docs.collect())
+    kept = stages["quality_classifier"](spark, docs, sf)
+    assert kept.columns == docs.columns and set(cut(kept.collect())) <= set(given)
+    one = stages["near_duplicates"](spark, docs, sf)
+    assert one.columns == docs.columns and cut(one.collect()) == cut(r for i, r in enumerate(docs.collect()) if i != 4)
+    left = stages["suffix_array_dedup"](spark, docs, sf)
+    assert left.columns == docs.columns and cut(left.collect()) == [(i, t if i != 6 else "", z) for i, t, z in given if i != 6]
+    mixed = stages["source_mixing"](spark, docs, sf)
+    assert mixed.columns == docs.columns and set(cut(mixed.collect())) <= set(given) and not mixed.where("text is null or trim(text) = ''").count()
+    packed = stages["packing"](spark, docs, sf)
+    assert packed.where("start = 0").count() == len(EDGES)
+    for name, stage in stages.items():
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import glob
+import hashlib
 import os
 import random
 import zlib
+from itertools import accumulate
 
 import duckdb
 import public_tokenizers
@@ -18,7 +20,7 @@ from tokenizers import Tokenizer
 from tideline.llm import matroska
 from tideline.llm.packing import Words, best_fit, pack
 from tideline.llm.queries import OP2_SQL, QUERIES, tokenizer_path
-from tideline.llm.token_counts import Counter, Tree, count_tokens, default_edits
+from tideline.llm.token_counts import Counter, Tree, count_tokens, default_edits, recount, trees
 from tideline.llm.url_filter import Bloom, cascade, filter_urls, split_url
 
 DATA = "/root/testdata"
@@ -61,7 +63,7 @@ def test_media_round_trip(raw):
     data = matroska.write(raw)
     media = matroska.parse(data)
     assert media.error is None and matroska.payload(data, media) == raw
-    assert media.tracks == ([{matroska.TRACK_NUMBER: 1, matroska.TRACK_TYPE: 2, matroska.CODEC_ID: "A_PCM/INT/LIT", matroska.SAMPLING: 8000.0, matroska.CHANNELS: 1, matroska.BIT_DEPTH: 8}])
+    assert media.tracks == ([{matroska.TRACK_NUMBER: 1, matroska.TRACK_TYPE: 2, matroska.DEFAULT_DURATION: 64_000_000, matroska.CODEC_ID: "A_PCM/INT/LIT", matroska.SAMPLING: 8000.0, matroska.CHANNELS: 1, matroska.BIT_DEPTH: 8}])
     assert len(media.cues) == media.clusters == -(-len(raw) // (512 * 8 * 16))
 
 
@@ -99,18 +101,53 @@ PIECES = st.text(st.sampled_from("ab'lrestvmd 1\n\t.é😀"), max_size=120)
 @given(PIECES, st.lists(st.tuples(st.floats(0, 1), st.integers(0, 9), st.text(st.sampled_from("a'lre \n1."), max_size=12)), max_size=4))
 def test_edits_count_as_whole_texts(text, edits):
     Tree.RUN = 2
-    pieces = COUNTER.split(text)
-    tree = Tree(pieces, COUNTER.counts(pieces))
+    tree = Tree.of(text, COUNTER)
     for share, removed, added in edits:
         at = int(share * len(text))
         removed = min(removed, len(text) - at)
         tree.edit(at, removed, added, COUNTER)
         text = text[:at] + added + text[at + removed :]
-        assert tree.text == text and [p for run in tree.runs for p in run] == COUNTER.split(text)
+        ends = list(accumulate(map(len, COUNTER.split(text))))
+        assert tree.text == text and {*accumulate(len(run) for run, _, _ in tree.leaves())} <= {*ends} and tree.root.pieces == len(ends)
         assert tree.total == sum(COUNTER.counts(COUNTER.split(text)))
     Tree.RUN = 16
 
 
+def test_edits_cost_a_path():
+    costs = []
+    for n in (1000, 100_000):
+        tree, rng = Tree.of(" ".join(f"word{i % 977}" for i in range(n)), COUNTER), random.Random(n)
+        tree.visited = 0
+        anew = sum(tree.edit(rng.randrange(tree.length - 50), rng.randrange(9), "some new words " * rng.randrange(30), COUNTER) for _ in range(100))
+        costs.append((tree.visited / 100, anew / 100))
+        assert tree.total == sum(COUNTER.counts(COUNTER.split(tree.text)))
+    assert costs[1][0] < costs[0][0] + 150 and costs[1][1] < 1.2 * costs[0][1]  # the logarithm of the length
+    tree = Tree.of("start " * 50, COUNTER)
+    for _ in range(300):
+        tree.edit(17, 0, "grows here " * 9, COUNTER)
+    assert tree._depth(tree._find(17)[0]) <= 2 * tree.root.pieces.bit_length() + 8 and tree.total == sum(COUNTER.counts(COUNTER.split(tree.text)))
+
+
+def test_a_table_of_edits(spark, frame):
+    rng = random.Random(4)
+    texts = {i: " ".join(rng.choice(["don't", "  x", "12", "naïve", "\n"]) for _ in range(rng.randrange(200))) for i in range(20)} | {30: "", 31: None, 32: "no edits", 33: "long " * 30_000}
+    kept = trees(frame([*texts.items(), (None, "no id")]), BYTES, public_tokenizers.PATTERN)
+    edits, whole = [], {i: t or "" for i, t in texts.items()}
+    for i in [*range(20), 30, 31, 33]:
+        for turn in range(rng.randrange(1, 5)):
+            at = rng.randrange(len(whole[i]) + 1)
+            removed, added = min(rng.randrange(6), len(whole[i]) - at), rng.choice(["", " new", "\n\n"])
+            whole[i] = whole[i][:at] + added + whole[i][at + removed :]
+            edits.append((i, turn, at, removed, added))
+    edits += [(32, 0, 99, 0, "outside"), (32, 1, None, 1, "x"), (None, 0, 0, 0, "x"), (77, 0, 0, 0, "no such row"), (30, 9, 0, None, None)]
+    rng.shuffle(edits)
+    got = {r.doc_id: r for r in recount(kept, spark.createDataFrame(edits, "doc_id long, turn int, at long, removed long, added string"), BYTES, public_tokenizers.PATTERN).collect()}
+    assert {i: r.text for i, r in got.items()} == whole | {None: "no id"}
+    assert all(r.n_tokens == sum(COUNTER.counts(COUNTER.split(r.text))) for r in got.values())
+    assert got[32].n_refused == 2 and got[32].n_reencoded == 0 and 0 < got[33].n_reencoded < 300
+    assert trees(frame([]), BYTES, public_tokenizers.PATTERN).count() == 0
+
+
 def test_token_counts_query(spark, frame):
     rows = [(i, r.text) for i, r in enumerate(spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect())] + [(1000 + i, t) for i, t in enumerate(ODD)]
     got = {r.doc_id: r for r in count_tokens(frame(rows), BYTES, public_tokenizers.PATTERN).collect()}
@@ -177,6 +214,65 @@ def test_packing(spark, frame):
     assert pack(frame([]), WORDS).count() == 0
 
 
+def test_packing_does_not_depend_on_partitions(frame):
+    rng = random.Random(8)
+    rows = [(i, "word " * rng.randrange(1, 3000)) for i in range(400)] + [(7, "again"), (7, "again"), (None, None), (None, "x")]
+    given = lambda n: sorted(map(tuple, pack(frame(rows).repartition(n), WORDS, group=128).collect()), key=repr)
+    one = given(1)
+    assert one == given(50) and len({r[5] >> 32 for r in one}) > 3
+    used = len({r[5] for r in one})
+    assert sum(r[2] for r in one) / (2048 * used) > 0.98
+
+
+def test_lace_times_and_key_frames():
+    sizes = matroska.parse(matroska.write(bytes(range(256)) * 20)).packets
+    assert [p[1] for p in sizes] == [i * 64_000_000 for i in range(10)] and all(p[4] for p in sizes)
+    block = lambda n, track: matroska.element(matroska.BLOCK, matroska.vint(track) + b"\0\x01" + (b"\x04" + bytes([n - 1]) if n > 1 else b"\0") + b"ab" * n)
+    group = lambda *parts: matroska.element(matroska.BLOCK_GROUP, b"".join(parts))
+    refers, lasts = matroska.element(matroska.REFERENCE_BLOCK, b"\xff"), matroska.uint(matroska.BLOCK_DURATION, 90)
+    track = matroska.element(matroska.TRACKS, matroska.element(matroska.TRACK_ENTRY, matroska.uint(matroska.TRACK_NUMBER, 2) + matroska.uint(matroska.DEFAULT_DURATION, 5_000_000)))
+    cluster = matroska.element(matroska.CLUSTER, matroska.uint(matroska.CLUSTER_TIMESTAMP, 10) + group(block(3, 1), lasts) + group(refers, block(1, 1)) + group(block(1, 1), refers) + group(block(2, 2), lasts) + group(block(2, 1)))
+    media = matroska.parse(matroska.element(matroska.EBML, b"") + matroska.element(matroska.SEGMENT, track + cluster))
+    assert media.error is None
+    assert [(p[0], p[1] // 1_000_000, p[4]) for p in media.packets] == [(1, 11, True), (1, 41, True), (1, 71, True), (1, 11, False), (1, 11, False), (2, 11, True), (2, 16, True), (1, 11, True), (1, 11, True)]
+
+
+def test_media_digests(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()] + [(9000, None), (9001, ""), (9002, "é" * 70_000), (9002, "é" * 70_000)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, media string, n_bytes int")
+    got = sorted(map(tuple, matroska.read_features(matroska.store_texts(docs)).collect()))
+    want = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        body = raw + bytes(64 if not raw else -len(raw) % 64)
+        data = matroska.write(body)
+        level = sum(body) / len(body)
+        marks = [b >= 96 for b in body]
+        crossings = sum(a != b for a, b in zip(marks, marks[1:], strict=False))
+        packets = -(-len(body) // 512)
+        laces = set()
+        for at in range(0, len(body), 4096):
+            frames = [len(body[k : min(k + 512, at + 4096)]) for k in range(at, min(at + 4096, len(body)), 512)]
+            laces.add(0 if len(frames) == 1 else 2 if len(set(frames)) == 1 else 3)
+        text = f"p{packets}c{-(-len(body) // 65536)}q{-(-len(body) // 65536)}l{''.join(map(str, sorted(laces)))}t{(packets - 1) * 64}m{level:.4f}x{crossings}h{max(body)}"
+        want.append((i, len(raw), len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-64:]), len(data), hashlib.sha256(data).hexdigest(), text))
+    assert got == sorted(want)
+    assert matroska.read_features(matroska.store_texts(docs.limit(0))).count() == 0
+
+
+def test_url_repeats_and_long_urls(spark):
+    urls = ["x://a.org/" + "p" * 50_000, "x://" + "s." * 2000 + "com/de/1"] * 2
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert [(r.rule, r.verdict) for r in filter_urls(rows).orderBy("page_id").collect()] == [("org/", "allow"), ("com/de/", "block")] * 2
+    with pytest.raises(ValueError):
+        filter_urls(spark.createDataFrame([(i, f"x://h{i}.org/fr/") for i in range(300)], "page_id long, url string"), rate=0.9, most_misses=5)
+
+
+def test_other_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "some text here", "a", 2, 3)], "doc_id long, text string, start string, length int, n_tokens int")
+    assert pack(docs, WORDS).count() == 1 and count_tokens(docs, BYTES, public_tokenizers.PATTERN).first().n_tokens == 3
+
+
 @pytest.mark.parametrize("name", ["op2_url_filter"])
 def test_registered(name):
     assert name in QUERIES and os.path.exists(WORDS)

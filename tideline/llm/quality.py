@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import hashing
-from tideline.llm.common import by_columns, release, slices
+from tideline.llm.common import by_columns, release, slices, small_batches
 
 TERMS, RANK, NEIGHBOURS, SAMPLE, SHARPNESS = 2048, 48, 25, 1500, 8
 
@@ -145,11 +145,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     return model
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs, each row with a column ``score``; a null text is scored as an empty one. A column of that name is replaced."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs, each row with a column ``score_col``; a null text is scored as an empty one. A column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c.lower() != "score"]
-    given = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_scored_text"))
+    small_batches(docs.sparkSession)
+    kept = [c for c in docs.columns if c.lower() != score_col.lower()]
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_scored_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,15 +158,17 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             raw = [t.encode() for t in batch.column(batch.num_columns - 1).to_pylist()]
             parts = [shared.value.scores(term_counts(raw[a:b])) for a, b in hashing.chunks(raw)]
             score = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*kept, score_col])
 
-    return given.mapInArrow(rows, f"{kinds}, score double")
+    return given.mapInArrow(rows, f"{kinds}, `{score_col}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5 up) of every row of docs.
 
-    Without labelled rows every score is 0.5. Repeated rows are scored alike; an empty table gives an empty one.
+    Without labelled rows every score is 0.5. A null or empty text has the labels' prior. Repeated rows are scored alike;
+    null ids stay and aren't held out; an empty table gives an empty one. Other columns, whatever their names, are left
+    behind. Very long texts are counted by themselves, one at a time.
     """
     model = fit(docs, labels, label_col, sample, id_col, text_col)
     out = scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), model)
