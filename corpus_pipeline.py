@@ -19,31 +19,60 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that nearest labelled neighbours vote to be of quality."""
+    """The documents that nearest labelled neighbours vote to be of quality.
+
+    Rows are judged by their texts alone: repeated rows, null ids and rows with equal ids all stay or go by themselves. A
+    null or empty text has the score of the labels' prior. A score of exactly 0.5 keeps its document. An empty table gives
+    an empty one; columns of any name go along.
+    """
     model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return scored(docs, model).where("score >= 0.5").select(*docs.columns)
+    score = "_score" + "_" * max(map(len, docs.columns))
+    return scored(docs, model, score_col=score).where(f"{score} >= 0.5").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group that 5-word shingles link at a Jaccard similarity of 0.8."""
-    groups = ngram_jaccard_join(docs, n=5, num=80, den=100)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """One document, that with the least id, of each group that 5-word shingles link at a Jaccard similarity of 0.8.
+
+    Texts without words, null texts among them, are in no group and all stay. Rows count one by one: where ids are null or
+    come more than once, rows are numbered in the order of id (null last) and a hash of the text, so that a row goes
+    only if a text like its own stays. Of equal rows one stays. An empty table gives an empty one; columns of any name go
+    along.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 or doc_id is null").isEmpty():
+        kept = ngram_jaccard_join(docs, n=5, num=80, den=100).where("doc_id = component_id").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    spread = docs.select(F.struct("*").alias("d"), F.xxhash64("text").alias("h")).repartitionByRange(F.col("d.doc_id").asc_nulls_last(), "h").sortWithinPartitions(F.col("d.doc_id").asc_nulls_last(), "h")
+    numbered = stored(spread.select("d", F.monotonically_increasing_id().alias("row")), "numbered")
+    kept = ngram_jaccard_join(numbered.select("row", "d.text"), n=5, num=80, den=100, id_col="row").where("doc_id = component_id").select(F.col("doc_id").alias("row"))
+    return numbered.join(kept, "row", "left_semi").select("d.*")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the byte strings of 200 and more that come more than once."""
+    """The documents without the byte strings of 200 and more that come more than once.
+
+    A document that loses all of its text goes; null and empty texts stay, as empty ones. Equal texts of 200 bytes and
+    more lose each other; ids play no part. A character that is cut goes as a whole. An empty table gives an empty one;
+    columns of any name go along.
+    """
     return without_repeats(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix of sources takes them."""
+    """The documents as often as the mix of sources takes them.
+
+    Null texts and those without words are taken by no mix and go. A null source is one of its own. Rows with equal or null
+    ids count each for itself. An empty table gives an empty one; columns of any name go along.
+    """
     return mixed_rows(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of 2048 tokens."""
+    """The pieces of the documents in sequences of 2048 tokens.
+
+    Every row is packed, repeated ones as often as they come and null ids too; a null or empty text is one piece of one
+    token. An empty table gives an empty one; other columns are left behind.
+    """
     return pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
