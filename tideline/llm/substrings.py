@@ -68,7 +68,7 @@ class Method:
     gram: int
     ordered: bool
     solve: Solver
-    part: int = 256
+    part: int = 16_384  # about 10 MB of contexts, the most that a task compares at a time
 
     def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols for hashing, and the first of each text."""
@@ -152,8 +152,7 @@ def _solved(cut: DataFrame, method: Method) -> DataFrame:
         for i, later, start, stop in method.solve(group, method.window):
             if later is not True:
                 found[i].append((start, stop))
-            for column, value in zip(out, (gram, rows[i][1], group[i].order, later, start, stop, None, None, None, None, None), strict=True):
-                column.append(value)
+            _add(out, (gram, rows[i][1], group[i].order, later, start, stop, None, None, None, None, None))
         if parts > 1:
             _publish(rows, group, found, method, out)
         return out
@@ -185,17 +184,28 @@ def _added(columns: list[list], more: list[list]) -> None:
 
 
 def _publish(rows: list[tuple], group: list[Context], found: list[list[tuple[int, int]]], method: Method, out: list[list]) -> None:
-    """The windows of a part, for the other parts of its group; those within no span of their context are open."""
+    """The windows of a part, for the other parts of its group: open ones, within no span of their context, and each other one once."""
     symbols, bounds = method.symbols([c.data or b"" for c in group])
     hashes = [hashing.Ranges(symbols, base) for base in (hashing.BASE, hashing.OTHER_BASE)]
+    closed: dict[tuple[int, int], list[int]] = {}
     for i, context in enumerate(group):
         at = np.arange(bounds[i], bounds[i] + context.windows)
         open_ = np.ones(context.windows, bool)
         for start, stop in found[i]:
             open_[start : max(start, stop - method.window + 1)] = False
-        n = context.windows
-        values = ([rows[i][0]] * n, [rows[i][1]] * n, [context.order] * n, [None] * n, [None] * n, [None] * n, range(n), *(h.hash(at, at + method.window).view(np.int64).tolist() for h in hashes), [context.copies] * n, open_.tolist())
-        _added(out, list(values))
+        keys = list(zip(*(h.hash(at, at + method.window).view(np.int64).tolist() for h in hashes), strict=True))
+        for k in np.flatnonzero(open_).tolist():
+            _add(out, (rows[0][0], rows[i][1], context.order, None, None, None, k, *keys[k], context.copies, True))
+        for k in np.flatnonzero(~open_).tolist():
+            known = closed.setdefault(keys[k], [0, context.order])
+            known[0], known[1] = known[0] + context.copies, min(known[1], context.order)
+    for key, (copies, first) in closed.items():
+        _add(out, (rows[0][0], None, first, None, None, None, None, *key, copies, False))
+
+
+def _add(columns: list[list], row: tuple) -> None:
+    for column, value in zip(columns, row, strict=True):
+        column.append(value)
 
 
 def repeated_spans(docs: DataFrame, method: Method) -> DataFrame:
