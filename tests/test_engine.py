@@ -7,9 +7,10 @@ import json
 import pytest
 
 from tideline.plans.engine import Replica
+from tideline.plans.store import Store
 from tideline.sources.changelog import SCHEMA
 from tideline.sources.config import Config, TableRules
-from tideline.streaming.replication import start_replica
+from tideline.streaming.replication import run_replica, start_replica, stop_all_replicas
 
 RAW = {
     "type_override": {"tinyint(1)": {"override_to": "boolean", "override_tables": ["*"]}},
@@ -81,6 +82,75 @@ def test_key_changes_of_missing_rows_do_nothing(spark, replica):
     assert [e.event_id for e in replica.show_errors().collect()] == [6]
 
 
+def mixed_batch(spark):
+    return spark.createDataFrame([
+        event(2, "insert", "t", {"id": 3, "v": "c"}), event(3, "update", "t", {"id": 1, "v": "A"}, {"id": 1, "v": "a"}), event(4, "update", "keep", {"id": 1, "v": "B"}, {"id": 1, "v": "a"}),
+        event(5, "ddl", "t", ddl="ALTER TABLE t ADD n INT DEFAULT 7"), event(6, "insert", "t", {"id": 4, "v": "d", "n": 1}), event(7, "ddl", "u", ddl="CREATE TABLE u (k INT PRIMARY KEY)"),
+        event(8, "insert", "u", {"k": 1}), event(9, "insert", "keep", {"id": 1, "v": "clash"}), event(10, "insert", "keep", {"id": 2, "v": "late"}),
+    ], SCHEMA)
+
+
+def test_a_batch_that_failed_anywhere_goes_on(spark, replica, monkeypatch):
+    given, log = Store.publish, mixed_batch(spark)
+    count = [0, 0]
+
+    def failing(store, staged):
+        count[0] += 1
+        if count[0] == count[1]:
+            raise OSError("lost")
+        given(store, staged)
+
+    monkeypatch.setattr(Store, "publish", failing)
+    for last in range(1, 30):  # each try fails one publication later
+        count[:] = [0, last]
+        try:
+            done = replica.replay_batch("one", log, 0)
+            break
+        except OSError:
+            pass
+    assert last > 5 and done == {"replayed": 5, "skipped": 2, "ddl": done["ddl"]}
+    assert state(replica, "dw.t") == [(1, "A", 7), (2, "b", 7), (3, "c", 7), (4, "d", 1)] and state(replica, "dw.u") == [(1,)] and state(replica, "dw.keep") == [(1, "B")]
+    assert [(e.table_name, e.event_id) for e in replica.show_errors().collect()] == [("keep", 9)]
+    assert [t.table_name for t in replica.catalog("replica_tables").where("not enabled").collect()] == ["keep"]
+
+
+def test_exit_keeps_what_comes_before(spark, replica, tmp_path):
+    replica.config = Config.of(RAW | {"sources": {"one": RAW["sources"]["one"] | {"on_error_replay": "exit"}}})
+    log = mixed_batch(spark).unionByName(spark.createDataFrame([event(11, "insert", "t", {"id": 1, "v": "x", "n": 0}), event(12, "insert", "u", {"k": 2})], SCHEMA))
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="event 9"):
+            replica.replay_batch("one", log, 0)
+        assert state(replica, "dw.t") == [(1, "A", 7), (2, "b", 7), (3, "c", 7), (4, "d", 1)] and state(replica, "dw.u") == [(1,)] and state(replica, "dw.keep") == [(1, "B")]
+        assert [(e.table_name, e.event_id, e.status) for e in replica.show_errors().collect()] == [("keep", 9, "error")]
+    spark.createDataFrame([(1, "clash"), (2, "late")], "id long, v string").write.parquet(str(tmp_path / "again"))
+    replica.sync_tables("one", "shop.keep", {"shop.keep": str(tmp_path / "again")}, {"shop.keep": ["id"]}, (1, 105))
+    with pytest.raises(RuntimeError, match="event 11"):
+        replica.replay_batch("one", log, 0)
+
+
+def test_bad_images_are_discarded(spark, replica):
+    rows = [event(2, "insert", "t", {"id": "notanumber", "v": "x"}), event(3, "insert", "t"), event(4, "insert", "t", {"id": 7, "v": "ok"}), event(5, "update", "t", {"id": 1, "v": "y"}, {"id": "q"}), event(6, "delete", "t", None, {"id": 2, "v": "b"})]
+    broken = (*event(8, "insert", "t")[:10], "{broken", None, None)
+    done = replica.replay_batch("one", spark.createDataFrame([*rows, broken], SCHEMA), 0)
+    assert done["replayed"] == 2 and done["skipped"] == 4 and state(replica, "dw.t") == [(1, "a"), (7, "ok")]
+    assert {r.event_id: bytes.fromhex(r.row_data).decode() for r in replica.catalog("discarded_rows").collect()} == {2: '{"id": "notanumber", "v": "x"}', 3: "", 5: '{"id": 1, "v": "y"}', 8: "{broken"}
+
+
+def test_stream_derives_the_file_number(spark, replica, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [event(2, "insert", "t", {"id": 3, "v": "c"}), event(1, "insert", "t", {"id": 8, "v": "before the snapshot"})]
+    spark.createDataFrame([(*r[:7], None, *r[8:]) for r in rows], SCHEMA).write.parquet(path)
+    replica.pause("one")
+    replica.config = Config.of(RAW | {"sources": {"one": RAW["sources"]["one"] | {"sleep_loop": 0.1}}})
+    import threading
+
+    threading.Timer(2, lambda: replica.resume("one")).start()
+    assert run_replica(replica, "one", path, str(tmp_path / "checkpoint"), rounds=1) == 1
+    assert state(replica, "dw.t") == [(1, "a"), (2, "b"), (3, "c")]
+    stop_all_replicas(replica)
+    assert replica._source("one")["status"] == "stopped"
+
+
 def test_stream(spark, replica, tmp_path):
     path = str(tmp_path / "log")
     spark.createDataFrame([event(2, "insert", "t", {"id": 3, "v": "c"})], SCHEMA).write.parquet(path)

@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 
 from tideline.plans.engine import Replica
 from tideline.sources.config import Config
-from tideline.streaming.replication import start_replica
+from tideline.streaming.replication import run_replica, stop_all_replicas
 
-COMMANDS = ("create_replica_schema", "drop_replica_schema", "add_source", "drop_source", "init_replica", "refresh_schema", "sync_tables", "start_replica", "stop_replica", "enable_replica", "detach_replica", "update_schema_mappings", "run_maintenance", "show_config", "show_sources", "show_status", "show_errors")
+COMMANDS = ("create_replica_schema", "drop_replica_schema", "add_source", "drop_source", "init_replica", "refresh_schema", "sync_tables", "start_replica", "stop_replica", "stop_all_replicas", "enable_replica", "detach_replica", "update_schema_mappings", "run_maintenance", "show_config", "show_sources", "show_status", "show_errors")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -39,7 +39,9 @@ def main(argv: list[str] | None = None) -> None:
         places, keys = {k: v["location"] for k, v in origin.items()}, {k: v.get("key", []) for k, v in origin.items()}
         print(replica.sync_tables(args.source, args.tables, places, keys, (seq, pos)) if args.command == "sync_tables" else replica.init_replica(args.source, places, keys, (seq, pos)))
     elif args.command == "start_replica":
-        start_replica(replica, args.source, args.log, f"{args.root}/_checkpoint/{args.source}", once=args.once).awaitTermination()
+        print(run_replica(replica, args.source, args.log, f"{args.root}/_checkpoint/{args.source}", rounds=1 if args.once else None))
+    elif args.command == "stop_all_replicas":
+        stop_all_replicas(replica)
     elif args.command == "stop_replica":
         replica.stop(args.source)
     elif args.command == "show_config":

@@ -70,3 +70,8 @@ def cascade(parents: DataFrame, children: DataFrame, on: list[str]) -> DataFrame
 def backlog(log: DataFrame, by: str = "source") -> DataFrame:
     """AG15: events that wait for each source."""
     return log.groupBy(by).agg(F.count("*").alias("n_events"))
+
+
+def pause_gate(sources: DataFrame, received: DataFrame, replayed: DataFrame) -> DataFrame:
+    """JN5, ST9: source and whether it waits: it has received what isn't replayed yet. Sources that lack either are left out."""
+    return sources.join(received, "source").join(replayed, "source").select("source", (F.col("received") > F.col("replayed")).alias("waits"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.plans.store import written
+
 
 def fold(changes: DataFrame, key: list[str], columns: list[str], base: DataFrame | None = None, op: str = "op", order: str = "event_id") -> DataFrame:
     """Current rows: key and columns. An insert of an existing key overwrites it; updates and deletes of missing ones do nothing.
@@ -104,12 +106,14 @@ def settle_key_changes(changes: DataFrame, key: list[str], before: list[str], ba
     outs = turns.where("_kind = 'out'").select("_key", "_at", (F.col("_last._kind") == "insert").alias("_is"))
     known = outs.withColumn("_known", F.lit(False)) if base is None else outs.join(base.select(new, F.lit(True).alias("_known")), "_key", "left")
     ins = turns.where("_kind = 'in'").select("_at", F.when(F.col("_then._kind") == "out", F.col("_then._at")).alias("_next"))
-    links = known.select("_at", F.coalesce("_is", "_known", F.lit(False)).alias("_is")).join(ins, "_at", "left").localCheckpoint()
+    links = known.select("_at", F.coalesce("_is", "_known", F.lit(False)).alias("_is")).join(ins, "_at", "left")
+    links = written(links, "moves")
     while not (reached := links.where("_is and _next is not null")).isEmpty():
         reached = reached.select(F.col("_next").alias("_at"), F.lit(True).alias("_reached")).distinct()
         ahead = links.where("_next is not null").select(F.col("_at").alias("_next"), F.col("_next").alias("_after"))
         links = links.join(reached, "_at", "left").join(ahead, "_next", "left")
-        links = links.select("_at", (F.col("_is") | F.coalesce("_reached", F.lit(False))).alias("_is"), F.col("_after").alias("_next")).localCheckpoint()
+        links = links.select("_at", (F.col("_is") | F.coalesce("_reached", F.lit(False))).alias("_is"), F.col("_after").alias("_next"))
+        links = written(links, "moves")
 
     idle = moves.select(order).join(links.where("_is").select(F.col("_at").alias(order)), order, "left_anti")
     out = changes.join(idle.withColumn("_idle", F.lit(True)), order, "left")

@@ -78,3 +78,8 @@ def past_watermark(log: DataFrame) -> DataFrame:
 def now_consistent(log: DataFrame) -> DataFrame:
     """FL4, ST5: tables that have an event at or behind their watermark: from there on they are consistent."""
     return past_watermark(log.where("mark_seq is not null")).select("source", "schema_name", "table_name").distinct()
+
+
+def listed(log: DataFrame, sources: DataFrame, names: str = "log_tables") -> DataFrame:
+    """FL8: events whose table is in their source's array of names."""
+    return log.join(sources.select("source", names), "source").where(F.array_contains(names, F.col("table_name"))).drop(names)

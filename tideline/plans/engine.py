@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tideline.functions.types import spark_type, typed
 from tideline.operators import replay, routing, tables
 from tideline.plans.evolve import apply_statement
 from tideline.plans.store import Store
 from tideline.sources import ddl
-from tideline.sources.changelog import image, read_table
+from tideline.sources.changelog import bad_image, image, read_table
 from tideline.sources.config import Config, TableRules, duplicate_destinations
 
 CATALOG = "_catalog"
 VERSION = 1
 STATES = ("ready", "initialising", "initialised", "syncing", "synced", "running", "stopped", "error")
-# The catalog's tables.
+#: The catalog's tables.
 TABLES = {
     "sources": "source string, schema_mappings map<string,string>, status string, binlog_seq int, binlog_pos long, consistent boolean, paused boolean, type string",
     "replica_tables": "source string, schema_name string, table_name string, destination string, pkey array<string>, binlog_seq int, binlog_pos long, enabled boolean",
     "batches": "batch_id long, source string, replayed long, skipped long, ddl long, last_time long",
     "error_log": "batch_id long, source string, schema_name string, table_name string, pkey string, event_id long, message string",
-    "discarded_rows": "batch_id long, source string, schema_name string, table_name string, row_data string",
+    "discarded_rows": "batch_id long, source string, schema_name string, table_name string, event_id long, row_data string",
 }
-KEYS = {"sources": ["source"], "replica_tables": ["source", "schema_name", "table_name"], "batches": ["source", "batch_id"]}
+KEYS = {"error_log": ["source", "schema_name", "table_name", "event_id"], "discarded_rows": ["source", "schema_name", "table_name", "event_id", "row_data"], "sources": ["source"], "replica_tables": ["source", "schema_name", "table_name"], "batches": ["source", "batch_id"]}
+
+
+#: Of each column of a table its type and full type at the origin.
+Types = Mapping[str, tuple[str, str]]
 
 
 class Replica:
@@ -99,22 +105,31 @@ class Replica:
 
     # Snapshots
 
-    def init_replica(self, name: str, locations: Mapping[str, str | Mapping[str, str]], keys: Mapping[str, list[str]], at: tuple[int, int], only: str | None = None) -> list[str]:
+    def init_replica(self, name: str, locations: Mapping[str, str | Mapping[str, str]], keys: Mapping[str, list[str]], at: tuple[int, int], only: str | None = None, types: Mapping[str, Types] | None = None) -> list[str]:
         """CT9, SC4, SK9: tables copied as of a coordinate and published together; returns their names.
 
-        locations and keys are by ``schema.table``. Tables without a key are copied but not replicated (K).
+        locations, keys and types are by ``schema.table``. Tables without a key are copied but not replicated (K). A table
+        with types has its columns converted from the origin's texts, by the overrides too (PJ1, DG13); rows that can't
+        be are discarded (SK3, SK6). With keep_existing_schema a table that exists keeps its columns' types (SK8).
         """
         source = self.config.sources[name]
         mapping, rules = dict(self._source(name)["schema_mappings"]), TableRules.of(source, only)
         self._set(name, status="initialising" if only is None else "syncing")
-        staged, rows = [], []
+        staged, rows, lost = [], [], []
         try:
             for full, location in sorted(locations.items()):
                 schema, _, table = full.partition(".")
                 if schema not in mapping or not rules.keeps(schema, table):
                     continue
                 pkey = list(keys.get(full, ()))
-                staged.append(self.store.stage(f"{mapping[schema]}.{table}", read_table(self.spark, location), {"pkey": pkey, "enabled": bool(pkey), "fillfactor": self.config.fill_factor(full)}))
+                copied = read_table(self.spark, location)
+                if types and full in types:
+                    copied, bad = self._converted(copied, types[full], table)
+                    lost.append(bad.select(F.lit(None).cast("long").alias("batch_id"), F.lit(name).alias("source"), F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), F.lit(None).cast("long").alias("event_id"), "row_data"))
+                elif source.keep_existing_schema and self.store.exists(f"{mapping[schema]}.{table}"):
+                    known = self.store.schema(f"{mapping[schema]}.{table}")
+                    copied = copied.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in known.fields if f.name in copied.columns))
+                staged.append(self.store.stage(f"{mapping[schema]}.{table}", copied, {"pkey": pkey, "enabled": bool(pkey), "fillfactor": self.config.fill_factor(full)}))
                 rows.append((name, schema, table, mapping[schema], pkey, at[0], at[1], bool(pkey)))
         except Exception:
             for s in staged:
@@ -122,10 +137,23 @@ class Replica:
             self._set(name, status="error")
             raise
         self.store.swap(staged)
+        for bad in lost:
+            self._put("discarded_rows", bad)
         self._put("replica_tables", rows)
         self._set(name, status="initialised" if only is None else "synced", binlog_seq=at[0], binlog_pos=at[1], consistent=False)
         return [s["table"] for s in staged]
 
+    def _converted(self, rows: DataFrame, types: Types, table: str) -> tuple[DataFrame, DataFrame]:
+        made, texts = {}, {}
+        for column, (data_type, column_type) in types.items():
+            found = re.search(r"\((\d+)(?:\s*,\s*(\d+))?\)", column_type)
+            precision, scale = (int(x) if x else None for x in found.groups()) if found else (None, None)
+            kind = spark_type(data_type, column_type, precision, scale, table, self.config.type_override)
+            text = F.col(column).cast("string")
+            texts[column] = F.when(~text.startswith("0000-00-00"), text) if data_type.lower() in ("date", "datetime", "timestamp") else text
+            made[column] = typed(F.col(column), data_type, kind)
+        return tables.good_and_bad(rows.select(*(texts[c].alias(c) for c in texts)), made)
+
     def sync_tables(self, name: str, only: str, locations: Mapping[str, str | Mapping[str, str]], keys: Mapping[str, list[str]], at: tuple[int, int]) -> list[str]:
         """CT9, CT10: some tables copied anew; ``disabled`` stands for those that errors have disabled."""
         if only == "disabled":
@@ -165,79 +193,126 @@ class Replica:
             kept.unpersist()
 
     def _replay(self, name: str, kept: DataFrame, batch_id: int, on_error: str) -> dict[str, int]:
-        total, replayed, skipped, n_ddl = kept.count(), 0, 0, 0
+        """What is applied of a batch is kept with each table (``applied``, ``ddl``), so a batch that failed goes on where it was.
+
+        With ``exit`` all tables are applied up to the first conflict of any, which ends the replay; the batch's record
+        isn't written, so a later try stops there again until the table is copied anew.
+        """
+        total, n_ddl = kept.count(), 0
         touched = [(r.schema_name, r.table_name, r.destination) for r in kept.where("op <> 'ddl'").select("schema_name", "table_name", "destination").distinct().collect()]
         statements = kept.where("op = 'ddl'").select("event_id", "schema_name", "destination", "ddl").orderBy("event_id").collect()  # DDL is rare and applied on the driver
-        stops = [*(s.event_id for s in statements), None]
+        replayed = sum(self._applied(f"{d}.{t}", batch_id).get("n", 0) for _, t, d in touched)
+        end = (kept.agg(F.max("event_id")).first()[0] or 0) + 1
         begin = None
-        for stop, statement in zip(stops, [*statements, None], strict=True):
-            epoch = kept.where((F.lit(True) if begin is None else F.col("event_id") > begin) & (F.lit(True) if stop is None else F.col("event_id") < stop))
+        for stop, statement in zip([*(s.event_id for s in statements), end], [*statements, None], strict=True):
+            epoch = kept.where((F.lit(True) if begin is None else F.col("event_id") > begin) & (F.col("event_id") < stop))
+            failure = None
+            if on_error == "exit":
+                found = [f for schema, table, destination in touched if (f := self._table(name, epoch, schema, table, destination, batch_id, stop, probe=True)[1])]
+                failure = min(found, key=lambda f: f["event_id"], default=None)
+                if failure:
+                    stop, statement = failure["event_id"], None
+                    epoch = epoch.where(F.col("event_id") < stop)
             for schema, table, destination in touched:
-                replayed += self._table(name, epoch, schema, table, destination, batch_id, on_error)
+                replayed += self._table(name, epoch, schema, table, destination, batch_id, stop)[0]
+            if failure:
+                self._put("error_log", [tuple(failure[f] for f in StructType.fromDDL(TABLES["error_log"]).names)])
+                self._set(name, status="error")
+                raise RuntimeError(f"replay of {failure['schema_name']}.{failure['table_name']} failed at event {stop}")
             if statement is not None:
-                for parsed in ddl.parse(statement.ddl or ""):
-                    n_ddl += self._ddl(name, statement.schema_name, statement.destination, parsed) != "ignored"
-                touched += [t for t in ((statement.schema_name, getattr(p, "to", None) or getattr(p, "name", ""), statement.destination) for p in ddl.parse(statement.ddl or "")) if t[1] and t not in touched]
+                parsed = ddl.parse(statement.ddl or "")
+                for k, each in enumerate(parsed):
+                    n_ddl += self._ddl(name, statement.schema_name, statement.destination, each, [statement.event_id, k]) != "ignored"
+                touched += [t for t in ((statement.schema_name, getattr(p, "to", None) or getattr(p, "name", ""), statement.destination) for p in parsed) if t[1] and t not in touched]
                 begin = stop
         skipped = total - len(statements) - replayed
         last = kept.agg(F.max_by("event_time", "event_id")).first()[0]
-        self._put("batches", [(batch_id, name, replayed, skipped, n_ddl, last)])
-        mark = kept.agg(F.max(F.struct("binlog_seq", "binlog_pos"))).first()[0]
-        self._consistent(name, mark)
+        self._consistent(name, kept.agg(F.max(F.struct("binlog_seq", "binlog_pos"))).first()[0])
+        self._put("batches", [(batch_id, name, replayed, skipped, n_ddl, last)])  # last, as it tells that all is done
         return {"replayed": replayed, "skipped": skipped, "ddl": n_ddl}
 
-    def _ddl(self, name: str, schema: str, destination: str, statement: ddl.Statement) -> str:
-        """DG1, K: what a DDL statement does to the store and to the registration of its table."""
-        done = apply_statement(self.store, destination, statement, self.config.type_override)
+    def _applied(self, full: str, batch_id: int) -> dict:
+        found = self.store.info(full).get("applied", {})
+        return found if found.get("batch") == batch_id else {}
+
+    def _ddl(self, name: str, schema: str, destination: str, statement: ddl.Statement, event: list[int]) -> str:
+        """DG1, K: what a DDL statement does to the store and to the registration of its table; nothing if it is done already."""
         table = getattr(statement, "name", "")
-        if done in ("created", "renamed"):
-            target = statement.to if done == "renamed" else table
-            pkey = self.store.info(f"{destination}.{target}").get("pkey", [])
-            self._put("replica_tables", [(name, schema, target, destination, pkey, None, None, bool(pkey))])
-        elif done == "disabled":
+        mark = self.store.info(f"{destination}.{table}").get("ddl", [-1, -1]) if table else [-1, -1]
+        if mark > event:
+            return "ignored"
+        done = "ignored" if mark == event else apply_statement(self.store, destination, statement, self.config.type_override)
+        target = statement.to if isinstance(statement, ddl.RenameTable) else table
+        if done not in ("ignored", "dropped"):
+            self.store.note(f"{destination}.{target}", ddl=event)
+        if isinstance(statement, (ddl.CreateTable, ddl.RenameTable)) and self.store.exists(f"{destination}.{target}"):
+            own = (F.col("source") == name) & (F.col("schema_name") == schema) & (F.col("table_name") == target)
+            if done != "ignored" or self.catalog("replica_tables").where(own).isEmpty():  # a try before may have ended in between
+                pkey = self.store.info(f"{destination}.{target}").get("pkey", [])
+                self._put("replica_tables", [(name, schema, target, destination, pkey, None, None, bool(pkey))])
+        elif done == "disabled" or (mark == event and isinstance(statement, ddl.DropPrimaryKey)):
             self._put("replica_tables", [(name, schema, table, destination, [], None, None, False)])
         return done
 
-    def _table(self, name: str, log: DataFrame, schema: str, table: str, destination: str, batch_id: int, on_error: str) -> int:
+    def _disable(self, known: Row, failure: dict) -> None:
+        self._put("error_log", [tuple(failure[f] for f in StructType.fromDDL(TABLES["error_log"]).names)])
+        self._put("replica_tables", [tuple((known.asDict() | {"enabled": False})[f] for f in StructType.fromDDL(TABLES["replica_tables"]).names)])
+
+    def _table(self, name: str, log: DataFrame, schema: str, table: str, destination: str, batch_id: int, upto: int, probe: bool = False) -> tuple[int, dict | None]:
+        """One table's events of an epoch, up to the event ``upto``: how many were applied, and its first conflict.
+
+        ``probe`` only looks for the conflict. Images that can't be read go to discarded_rows.
+        """
         full = f"{destination}.{table}"
         known = self.catalog("replica_tables").where((F.col("source") == name) & (F.col("schema_name") == schema) & (F.col("table_name") == table)).first()
         if known is None or not known.enabled or not self.store.exists(full):
-            return 0
-        events = log.where((F.col("schema_name") == schema) & (F.col("table_name") == table) & (F.col("op") != "ddl"))
+            return 0, None
+        info, done = self.store.info(full), self._applied(full, batch_id)
+        if done.get("failure"):
+            self._disable(known, done["failure"])  # the last try ended before this
+            return 0, None
+        events = log.where((F.col("schema_name") == schema) & (F.col("table_name") == table) & (F.col("op") != "ddl") & (F.col("event_id") >= done.get("upto", -(1 << 62))))
         events = routing.past_watermark(events.withColumns({"mark_seq": F.lit(known.binlog_seq).cast("int"), "mark_pos": F.lit(known.binlog_pos).cast("long")}))
         base, key = self.store.read(full), list(known.pkey)
         rows = StructType([f for f in base.schema.fields])
-        bad = image(F.col("after"), rows)
-        typed = events.withColumn("_a", bad).withColumn("_b", image(F.col("before"), rows))
+        read = events.withColumn("_a", image(F.col("after"), rows)).withColumn("_b", image(F.col("before"), rows))
+        bad_after, bad_before = (bad_image(F.col(text), F.col(read), rows) for text, read in (("after", "_a"), ("before", "_b")))
+        no_after = F.col("after").isNull()
+        bad = F.when(F.col("op") == "delete", F.when(F.col("before").isNull(), no_after | bad_after).otherwise(bad_before)).otherwise(no_after | bad_after | ((F.col("op") == "update") & bad_before))
+        read = read.withColumn("_bad", bad).persist()
         values = [c for c in rows.names if c not in key]
         at, op = "_event_", "_kind_"  # tables may have columns of the log's names
-        flat = typed.select(F.col("event_id").alias(at), F.col("op").alias(op), *(F.col(f"_a.`{c}`").alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
+        good = read.where("not _bad")
+        flat = good.select(F.col("event_id").alias(at), F.col("op").alias(op), *(F.coalesce(F.col(f"_a.`{c}`"), F.when((F.col("op") == "delete") & no_after, F.col(f"_b.`{c}`"))).alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
         flat, old = flat.persist(), [f"_before_{k}" for k in key]
         events_of = flat
         try:
+            if not probe:
+                lost = read.where("_bad").select(F.lit(batch_id).cast("long").alias("batch_id"), "source", "schema_name", "table_name", "event_id", F.lower(F.hex(F.coalesce("after", "before", F.lit("")))).alias("row_data"))
+                if not lost.isEmpty():
+                    self._put("discarded_rows", lost)
             events_of = replay.split_key_changes(replay.settle_key_changes(flat, key, old, base, op, at), key, old, op, at).drop(*old).persist()
             whole = f"{op} <> 'insert' or {at} % 2 = 0"  # the second half of a key change isn't counted
             n = events_of.where(whole).count()
             if not n:
-                return 0
+                return 0, None
             table_of = events_of.withColumn("_table", F.lit(table))
             clash = replay.conflicts(table_of, ["_table", *key], base.select(*key).withColumn("_table", F.lit(table)), op, at)
-            first = clash.agg(F.min(at)).first()[0]
+            first = replay.errors(clash, ["_table"], key, at).first()
+            failure = None
             if first is not None:
-                log_rows = replay.errors(clash, ["_table"], key, at)
-                self._put("error_log", log_rows.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(name).alias("source"), F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "pkey", F.floor(F.col(at) / 2).cast("long").alias("event_id"), "message"))
-                if on_error == "exit":
-                    self._set(name, status="error")
-                    raise RuntimeError(f"replay of {full} failed at event {first // 2}")
-                self._put("replica_tables", [(name, schema, table, destination, key, known.binlog_seq, known.binlog_pos, False)])
-                events_of = events_of.where(F.col(at) < first - first % 2)  # a move that clashes leaves the old row, too
+                failure = {"batch_id": batch_id, "source": name, "schema_name": schema, "table_name": table, "pkey": first.pkey, "event_id": first[at] // 2, "message": first.message}
+                events_of = events_of.where(F.col(at) < failure["event_id"] * 2)  # a move that clashes leaves the old row, too
                 n = events_of.where(whole).count()
-            info = self.store.info(full) | {"batch_id": batch_id}
-            self.store.write(full, replay.fold(events_of, key, values, base, op, at).select(*rows.names), info)
-            return n
+            if not probe:
+                applied = {"batch": batch_id, "upto": upto, "n": done.get("n", 0) + n, "failure": failure}
+                self.store.write(full, replay.fold(events_of, key, values, base, op, at).select(*rows.names), info | {"applied": applied})
+                if failure:
+                    self._disable(known, failure)
+            return n, failure
         finally:
-            events_of.unpersist()
-            flat.unpersist()
+            for frame in (events_of, flat, read):
+                frame.unpersist()
 
     def _consistent(self, name: str, mark: object) -> None:
         """ST6: once a batch reaches the source's high watermark, its tables need no watermark any more."""
@@ -275,8 +350,17 @@ class Replica:
 
     def run_maintenance(self, name: str) -> int:
         """CT4, CT5: old versions of the source's tables go."""
+        self._retire(name)
         return sum(self.store.vacuum(f"{r.destination}.{r.table_name}") for r in self.catalog("replica_tables").where(F.col("source") == name).collect() if self.store.exists(f"{r.destination}.{r.table_name}"))
 
+    def _retire(self, name: str) -> None:
+        """FL10, DM8: records of batches older than batch_retention go; the newest stays, as it tells what is done."""
+        known = self.catalog("batches")
+        newest = known.where(F.col("source") == name).agg(F.max("batch_id")).first()[0]
+        age = F.make_interval(secs=F.lit(int(time.time())) - F.col("last_time"))
+        old = (F.col("source") == name) & (F.col("batch_id") < F.lit(newest).cast("long")) & (F.timestamp_seconds(F.lit(0)) + age > F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {self.config.sources[name].batch_retention}"))
+        self.store.write(f"{CATALOG}.batches", known.where(~F.coalesce(old, F.lit(False))))
+
     # Reports
 
     def show_status(self) -> DataFrame:

@@ -371,7 +371,7 @@ def _copy(name: str) -> Query:
     return copy
 
 
-for _name in ("region", "nation", "customer", "supplier", "part"):
+for _name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations"):
     QUERIES[f"snapshot_copy_{_name}"] = _copy(_name)
     ORACLE_SQL[f"snapshot_copy_{_name}"] = f"SELECT * FROM {_name}"  # noqa: S608
 
@@ -456,11 +456,10 @@ def sequence_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.sequence_values(_read(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey"])
 
 
-@query("SELECT l_suppkey::VARCHAR AS table_name, l_returnflag AS index_name, 0 AS non_unique, array_to_string(list_sort(list_distinct(list(l_linestatus))), ',') AS columns FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2 HAVING count(*) FILTER (l_discount > 0.09) = 0")
+@query("SELECT l_orderkey::VARCHAR AS table_name, l_returnflag AS index_name, 0 AS non_unique, array_to_string(list_sort(list_distinct(list(l_linestatus))), ',') AS columns FROM lineitem GROUP BY 1, 2 HAVING count(*) FILTER (l_discount > 0.09) = 0")
 def index_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG12, SC10."""
-    rows = _read(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
-    usage = rows.select(F.col("l_suppkey").cast("string").alias("table_name"), F.col("l_returnflag").alias("index_name"), F.lit(0).alias("non_unique"), F.col("l_linestatus").alias("column_name"), F.lit(1).alias("seq"), F.when(F.col("l_discount") > 0.09, 1).alias("sub_part"))
+    usage = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("table_name"), F.col("l_returnflag").alias("index_name"), F.lit(0).alias("non_unique"), F.col("l_linestatus").alias("column_name"), F.lit(1).alias("seq"), F.when(F.col("l_discount") > 0.09, 1).alias("sub_part"))
     return changelog.indices(usage).withColumn("columns", F.array_join(F.array_sort(F.array_distinct("columns")), ","))
 
 
@@ -504,10 +503,10 @@ def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAMED = ("orders", "items", "people")
 
 
-def _replica(spark: SparkSession, sf_dir: str, statements: bool) -> tuple[Replica, str]:
+def _replica(spark: SparkSession, sf_dir: str, statements: bool, **settings: object) -> tuple[Replica, str]:
     """A replica whose tables are empty and whose log holds all events, in files by time."""
     folder = work_folder(spark, "replica")
-    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}), f"{folder}/store")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"}, **settings)}), f"{folder}/store")
     replica.create_schema()
     replica.add_source("all")
     empty = spark.createDataFrame([], "user_id long, event_id long, value double")
@@ -560,20 +559,20 @@ def disabled_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Statements of every production and the kind, table and detail that the parser must give.
 STATEMENTS = [
-    ("CREATE TABLE `t 1` (id INT(10) UNSIGNED NOT NULL AUTO_INCREMENT, v VARCHAR(45), PRIMARY KEY (id), KEY ix (v(10)))", "CreateTable", "t 1", "id"),
-    ("create table IF NOT EXISTS s.u (a int, b enum('x','y') default 'x', unique key (a,b)) engine=innodb", "CreateTable", "u", "a,b"),
-    ("ALTER TABLE test ADD `count` SMALLINT(6) NULL, ADD COLUMN log VARCHAR(12) default 'blah' NULL AFTER `count`, DROP FOREIGN KEY fk", "AlterTable", "test", "add count,add log"),
-    ("ALTER TABLE t ADD (g INT(11) UNSIGNED DEFAULT NULL, p VARCHAR(20) DEFAULT NULL)", "AlterTable", "t", "add g,add p"),
-    ("ALTER TABLE `a`.`b` CHANGE COLUMN `IMEI` `imei` VARCHAR(255) NULL DEFAULT NULL COMMENT 'changed, twice'", "AlterTable", "b", "change IMEI"),
-    ("ALTER TABLE foo MODIFY bar INT UNSIGNED DEFAULT NULL", "AlterTable", "foo", "modify bar"),
-    ("ALTER TABLE foo RENAME TO bar", "RenameTable", "foo", "bar"),
-    ("RENAME TABLE `s`.`p` TO `s`.`old`", "RenameTable", "p", "old"),
-    ("DROP TABLE IF EXISTS `test`", "DropTable", "test", ""),
-    ("TRUNCATE TABLE x.y", "Truncate", "y", ""),
-    ("ALTER TABLE test DROP PRIMARY KEY", "DropPrimaryKey", "test", ""),
-    ("CREATE UNIQUE INDEX i ON t (a, b)", "AlterTable", "t", "add_index i"),
-    ("DROP INDEX i ON t", "AlterTable", "t", "drop_index i"),
-    ("CREATE TEMPORARY TABLE x (a int)", "Unknown", "", ""),
+    ("CREATE TABLE `ship log` (no BIGINT(12) UNSIGNED NOT NULL AUTO_INCREMENT, entry VARCHAR(80), PRIMARY KEY (no), KEY words (entry(20)))", "CreateTable", "ship log", "no"),
+    ("create table IF NOT EXISTS fleet.crew (ship int, rank enum('mate','cook') default 'cook', unique key (ship,rank)) engine=memory", "CreateTable", "crew", "ship,rank"),
+    ("ALTER TABLE cargo ADD `weight` DECIMAL(9,2) NULL, ADD COLUMN port VARCHAR(30) default 'home' AFTER `weight`, DROP FOREIGN KEY owner", "AlterTable", "cargo", "add weight,add port"),
+    ("ALTER TABLE cargo ADD (crates INT UNSIGNED DEFAULT 1, barrels TINYINT DEFAULT NULL)", "AlterTable", "cargo", "add crates,add barrels"),
+    ("ALTER TABLE `fleet`.`mast` CHANGE COLUMN `HEIGHT` `metres` DOUBLE NULL DEFAULT NULL COMMENT 'above deck, not keel'", "AlterTable", "mast", "change HEIGHT"),
+    ("ALTER TABLE mast MODIFY sails BIGINT DEFAULT 3", "AlterTable", "mast", "modify sails"),
+    ("ALTER TABLE sloop RENAME TO cutter", "RenameTable", "sloop", "cutter"),
+    ("RENAME TABLE `fleet`.`brig` TO `fleet`.`hulk`", "RenameTable", "brig", "hulk"),
+    ("DROP TABLE IF EXISTS `wreck`", "DropTable", "wreck", ""),
+    ("TRUNCATE TABLE fleet.manifest", "Truncate", "manifest", ""),
+    ("ALTER TABLE berth DROP PRIMARY KEY", "DropPrimaryKey", "berth", ""),
+    ("CREATE UNIQUE INDEX by_name ON ship (name, port)", "AlterTable", "ship", "add_index by_name"),
+    ("DROP INDEX by_name ON ship", "AlterTable", "ship", "drop_index by_name"),
+    ("CREATE TEMPORARY TABLE tide (height int)", "Unknown", "", ""),
 ]
 
 
@@ -586,3 +585,153 @@ def ddl_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
         detail = ",".join(s.primary_key) if isinstance(s, ddl.CreateTable) else ",".join(f"{c.action} {c.name}" for c in s.changes) if isinstance(s, ddl.AlterTable) else getattr(s, "to", "")
         rows.append((i, type(s).__name__, getattr(s, "name", ""), detail))
     return spark.createDataFrame(rows, "id int, kind string, table_name string, detail string")
+
+
+@query(CUT + """, kept AS (SELECT * FROM log WHERE event_id < (SELECT coalesce(min(first), 1e18) FROM clash)),
+folded AS (SELECT table_name, user_id, arg_max(op, event_id) FILTER (op <> 'update') AS last_op, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM kept GROUP BY table_name, user_id)
+SELECT table_name, user_id, event_id, value FROM folded WHERE last_op = 'insert'""")
+def replay_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ER4, ST4: the replica's tables after a replay that ends at the first conflict of any, and is tried again."""
+    replica, folder = _replica(spark, sf_dir, False, on_error_replay="exit")
+    for _ in range(2):
+        try:
+            replica.replay_batch("all", changelog.read_log(spark, f"{folder}/log"), 0)
+        except RuntimeError:
+            pass
+    return _state(replica)
+
+
+@query(LOG + """SELECT event_id, table_name, lower(hex('{"user_id":"x' || user_id || '"}')) AS row_data FROM log WHERE event_id % 97 = 0 AND op <> 'delete'""")
+def replay_discarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SK3, SK6: images that a replay can't read."""
+    replica, folder = _replica(spark, sf_dir, False)
+    log = changelog.read_log(spark, f"{folder}/log")
+    broken = F.concat(F.lit('{"user_id":"x'), F.get_json_object("after", "$.user_id"), F.lit('"}'))
+    replica.replay_batch("all", log.withColumn("after", F.when((F.col("event_id") % 97 == 0) & (F.col("op") != "delete"), broken).otherwise(F.col("after"))), 0)
+    return replica.catalog("discarded_rows").select("event_id", "table_name", "row_data")
+
+
+def _typed_snapshot(spark: SparkSession, sf_dir: str) -> Replica:
+    """orders as an origin gives it: texts, zero dates, a flag, prices that are no numbers."""
+    folder = work_folder(spark, "typed")
+    price = F.when(F.col("o_orderkey") % 11 == 0, F.lit("much")).otherwise(F.col("o_orderkey").cast("string"))
+    day = F.when(F.col("o_orderkey") % 4 == 0, "0000-00-00 00:00:00").otherwise(F.col("o_orderdate").cast("string"))
+    flag = (F.col("o_orderkey") % 2).cast("string")
+    _read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), price.alias("price"), day.alias("day"), flag.alias("flag")).write.parquet(f"{folder}/origin")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}, type_override={"tinyint(1)": types.Override("boolean")}), f"{folder}/store")
+    replica.create_schema()
+    replica.add_source("all")
+    kinds = {"o_orderkey": ("bigint", "bigint(20)"), "price": ("decimal", "decimal(14,2)"), "day": ("datetime", "datetime"), "flag": ("tinyint", "tinyint(1)")}
+    replica.init_replica("all", {"shop.orders": f"{folder}/origin"}, {"shop.orders": ["o_orderkey"]}, (0, 0), types={"shop.orders": kinds})
+    return replica
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey AS DECIMAL(14, 2)) AS price, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) END AS seconds, o_orderkey % 2 = 1 AS flag FROM orders WHERE o_orderkey % 11 <> 0")
+def snapshot_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PJ1, DG13, SK1: a snapshot converted from the origin's texts, with an override."""
+    return _typed_snapshot(spark, sf_dir).store.read("dw.orders").select("o_orderkey", "price", types.epoch_seconds(F.col("day")).alias("seconds"), "flag")
+
+
+@query("SELECT 'shop' AS schema_name, 'orders' AS table_name, count(*) AS n FROM orders WHERE o_orderkey % 11 = 0")
+def snapshot_discarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SK3, SK6: what such a snapshot discards."""
+    return _typed_snapshot(spark, sf_dir).catalog("discarded_rows").groupBy("schema_name", "table_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 = 0")
+def tables_renamed_and_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DG1, DG2, DG10: a log that creates, renames, truncates and drops tables between rows."""
+    folder = work_folder(spark, "moved")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}), f"{folder}/store")
+    replica.create_schema()
+    replica.add_source("all")
+    rows = _read(spark, sf_dir, "customer")
+    top = rows.agg(F.max("c_custkey")).first()[0]
+    said = [(0, "CREATE TABLE first (c_custkey BIGINT PRIMARY KEY, c_name VARCHAR(40)); CREATE TABLE gone (k INT PRIMARY KEY)"), (top + 2, "TRUNCATE TABLE first; DROP TABLE gone; RENAME TABLE first TO second")]
+    events = rows.select((F.col("c_custkey") + 1).alias("event_id"), F.lit("first").alias("table_name"), F.to_json(F.struct("c_custkey", "c_name")).alias("after")).unionByName(
+        rows.where("c_custkey % 3 = 0").select((F.col("c_custkey") + top + 3).alias("event_id"), F.lit("second").alias("table_name"), F.to_json(F.struct("c_custkey", "c_name")).alias("after")))
+    none = F.lit(None).cast("string")
+    log = events.select("event_id", F.lit(0).cast("long").alias("batch_id"), F.lit("all").alias("source"), F.lit("shop").alias("schema_name"), "table_name", F.lit("insert").alias("op"), none.alias("binlog_name"), F.lit(0).alias("binlog_seq"), F.col("event_id").alias("binlog_pos"), F.lit(0).cast("long").alias("event_time"), "after", none.alias("before"), none.alias("ddl"))
+    ddl_rows = spark.createDataFrame([(i, 0, "all", "shop", None, "ddl", None, 0, i, 0, None, None, text) for i, text in said], changelog.SCHEMA)
+    replica.replay_batch("all", log.unionByName(ddl_rows), 0)
+    return replica.store.read("dw.second")
+
+
+@query(LOG + """SELECT event_id, string_agg(key || '=' || value, ',' ORDER BY key) AS pairs FROM (SELECT DISTINCT event_id, k.key AS key, k.value ->> '$' AS value FROM events, json_each(props) k) GROUP BY event_id""")
+def regrouped_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG7: images taken apart and put together again, an event a row."""
+    found = changelog.pairs(_read(spark, sf_dir, "events").select("event_id", "props"), "props")
+    return found.groupBy("event_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "key", "value"))), ",").alias("pairs"))
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type NOT IN ('click', 'view')")
+def statements_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL5: clicks stand for BEGIN, views for COMMIT."""
+    said = F.when(F.col("event_type") == "click", " begin ").when(F.col("event_type") == "view", "COMMIT").otherwise(F.concat(F.lit("UPDATE "), "event_type"))
+    return _read(spark, sf_dir, "events").where(routing.statements_kept(said)).select("event_id", "event_type")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+def active_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL13: segments stand for states, two of them of rest."""
+    status = F.when(F.col("c_mktsegment") == "BUILDING", "ready").when(F.col("c_mktsegment") == "MACHINERY", "stopped").otherwise("running")
+    return tables.active(_read(spark, sf_dir, "customer").withColumn("status", status)).select("c_custkey", "c_name")
+
+
+@query("SELECT n_name AS source, r_name AS origin, 'dw_' || lower(r_name) AS destination FROM nation JOIN region ON n_regionkey = r_regionkey")
+def exploded_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN6, A2: each source's mapping of schemas, a row each."""
+    both = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return tables.mappings(both.select(F.col("n_name").alias("source"), F.create_map(F.col("r_name"), F.concat(F.lit("dw_"), F.lower("r_name"))).alias("schema_mappings")))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey OFFSET 100 LIMIT 250")
+def copy_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SL6, SC2: a slice of an ordered copy, its length from the memory that it may take."""
+    size = types.slice_rows("250k", 1024)
+    return _read(spark, sf_dir, "orders").orderBy("o_orderkey").offset(100).limit(size).select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_orders FROM customer")
+def correlated_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN14: a count for each row of another table, 0 where there is none."""
+    counts = _read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    return _read(spark, sf_dir, "customer").select("c_custkey").join(counts, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n_orders"))
+
+
+@query("SELECT n_name AS index_name, r_name AS table_name, CASE WHEN n_nationkey % 2 = 0 THEN 'uq_' || n_name END AS constraint_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def indexes_of_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN9."""
+    both = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("index_name"), F.col("r_name").alias("table_name"), "n_nationkey")
+    return changelog.index_constraints(both.drop("n_nationkey"), both.where("n_nationkey % 2 = 0").withColumn("constraint_name", F.concat(F.lit("uq_"), "index_name"))).select("index_name", "table_name", "constraint_name")
+
+
+@query("SELECT n_name AS source, CASE n_nationkey % 3 WHEN 0 THEN 'log_bin' WHEN 1 THEN 'binlog_format' ELSE 'binlog_row_image' END AS name, CASE n_nationkey % 2 WHEN 0 THEN 'full' ELSE 'row' END AS value, CASE n_nationkey % 3 WHEN 0 THEN 'ON' WHEN 1 THEN 'ROW' ELSE 'FULL' END AS wanted FROM nation WHERE NOT ((n_nationkey % 3 = 1 AND n_nationkey % 2 = 1) OR (n_nationkey % 3 = 2 AND n_nationkey % 2 = 0))")
+def feed_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL16: settings of feeds that rows can't be replayed from."""
+    name = F.when(F.col("n_nationkey") % 3 == 0, "log_bin").when(F.col("n_nationkey") % 3 == 1, "binlog_format").otherwise("binlog_row_image")
+    return changelog.feed_problems(_read(spark, sf_dir, "nation").select(F.col("n_name").alias("source"), name.alias("name"), F.when(F.col("n_nationkey") % 2 == 0, "full").otherwise("row").alias("value")))
+
+
+@query("SELECT r_name AS schema_name, 'nation' AS table_name, string_agg(n_name || ':' || 'int', ',' ORDER BY n_name) AS types FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC8, SC11, SC12: a map of types for each table; nations stand for columns."""
+    both = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    kind = dict((c, t) for _, _, c, t in changelog.table_columns(both, "s", "t"))["n_nationkey"]
+    maps = changelog.type_map(both.select(F.col("r_name").alias("schema_name"), F.lit("nation").alias("table_name"), F.col("n_name").alias("column_name"), F.lit(kind).alias("type")))
+    return maps.withColumn("types", F.array_join(F.transform(F.array_sort(F.map_entries("types")), lambda e: F.concat_ws(":", e["key"], e["value"])), ","))
+
+
+@query(LOG + ", marked AS (SELECT source, max(event_time) AS received, max(event_time) FILTER (batch_id < 3) AS replayed FROM log GROUP BY source) SELECT source, received > replayed AS waits FROM marked")
+def pause_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN5, ST9: whether a source that is to pause has still to replay what it received."""
+    log = _log(spark, sf_dir)
+    received, replayed = (d.groupBy("source").agg(F.max("event_time").alias(n)) for d, n in ((log, "received"), (log.where("batch_id < 3"), "replayed")))
+    return batches.pause_gate(log.select("source").distinct(), received, replayed)
+
+
+@query(LOG + "SELECT event_id, table_name FROM log WHERE table_name IN ('orders', 'people')")
+def logs_of_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL8: events of the tables that their source's array names."""
+    listed = spark.createDataFrame([("east", ["orders", "people"]), ("west", ["people", "orders"])], "source string, log_tables array<string>")
+    return routing.listed(_log(spark, sf_dir), listed).select("event_id", "table_name")

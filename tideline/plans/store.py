@@ -25,6 +25,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df kept in the shared folder and read back: its lineage ends there, whatever executors are lost."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Store:
     """Tables below a root that Spark's file systems can reach."""
 
@@ -99,6 +106,12 @@ class Store:
         table = staged["table"]
         self._write_text(f"{self.root}/{table.replace('.', '/')}/_current", json.dumps({k: v for k, v in staged.items() if k != "table"}))
 
+    def note(self, table: str, **values: Any) -> None:
+        """Values added to what is kept with the table; its rows stay as they are."""
+        found = self._pointer(table)
+        if found is not None:
+            self.publish({"table": table} | found | {"info": found.get("info", {}) | values})
+
     def discard(self, staged: dict[str, Any]) -> None:
         self._fs.delete(self._path(f"{self.root}/{staged['table'].replace('.', '/')}/{staged['dir']}"), True)
 
@@ -106,7 +119,9 @@ class Store:
         self.publish(self.stage(table, rows, info))
 
     def swap(self, staged: list[dict[str, Any]]) -> None:
-        """SK9: all tables of a load, published once every one of them is written."""
+        """SK9: all tables of a load, published one after the other once every one of them is written.
+
+        A reader may see some of them before the others; one that fails in between is completed by loading again."""
         for s in staged:
             self.publish(s)
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tideline.functions.coordinates import log_number
 
+# What a feed's settings must be.
+FEED = {"log_bin": "ON", "binlog_format": "ROW", "binlog_row_image": "FULL"}
 _TEXT, _LONG = T.StringType(), T.LongType()
 SCHEMA = T.StructType(
     [
@@ -32,13 +34,16 @@ SCHEMA = T.StructType(
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A change log kept as Parquet; binlog_seq is derived where it is missing."""
-    found = spark.read.schema(SCHEMA).parquet(path)
-    return found.withColumn("binlog_seq", F.coalesce("binlog_seq", log_number(F.col("binlog_name"))))
+    return _with_seq(spark.read.schema(SCHEMA).parquet(path))
+
+
+def _with_seq(log: DataFrame) -> DataFrame:
+    return log.withColumn("binlog_seq", F.coalesce("binlog_seq", log_number(F.col("binlog_name"))))
 
 
 def stream_log(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
     """SC5, ST3: the same as a stream; a batch takes up to ``max_files`` new files."""
-    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+    return _with_seq(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path))
 
 
 def image(text: Column, kind: T.StructType) -> Column:
@@ -46,6 +51,32 @@ def image(text: Column, kind: T.StructType) -> Column:
     return F.from_json(text, kind, {"mode": "PERMISSIVE", "prefersDecimal": "true"})
 
 
+def bad_image(text: Column, read: Column, kind: T.StructType) -> Column:
+    """SK3: whether an image isn't an object, or has a set field that ``read``, its struct, has not. False for no image."""
+    raw = F.from_json(text, "map<string,string>")
+    lost = F.lit(False)
+    for f in kind.fields:
+        lost = lost | (F.element_at(raw, f.name).isNotNull() & read[f.name].isNull())
+    return text.isNotNull() & (raw.isNull() | F.coalesce(lost, F.lit(False)))
+
+
+def type_map(columns: DataFrame) -> DataFrame:
+    """SC12: columns (schema_name, table_name, column_name, type) as a map of names to types for each table."""
+    return columns.groupBy("schema_name", "table_name").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("column_name", "type")))).alias("types"))
+
+
+def index_constraints(indexes: DataFrame, constraints: DataFrame) -> DataFrame:
+    """JN9: each index (table_name, index_name) with the constraint that it backs, null if none."""
+    return indexes.join(constraints.select("table_name", "index_name", "constraint_name"), ["table_name", "index_name"], "left")
+
+
+def feed_problems(settings: DataFrame) -> DataFrame:
+    """FL16: settings (source, name, value) of a feed that rows can't be replayed from: each with what it should be."""
+    wanted = F.create_map(*(F.lit(x) for pair in sorted(FEED.items()) for x in pair))
+    want = F.element_at(wanted, F.lower("name"))
+    return settings.where(want.isNotNull() & ~F.upper("value").eqNullSafe(want)).select("source", "name", "value", want.alias("wanted"))
+
+
 def pairs(log: DataFrame, column: str = "after") -> DataFrame:
     """PJ8, PJ9: a row for each key of the image, with columns key and value; events without an image keep one row."""
     return log.select("*", F.explode_outer(F.from_json(F.col(column), "map<string,string>")).alias("key", "value"))
