@@ -6,6 +6,7 @@ import json
 
 import pytest
 
+from tideline.operators import replay
 from tideline.plans.engine import Replica
 from tideline.plans.store import Store
 from tideline.sources.changelog import SCHEMA
@@ -114,6 +115,39 @@ def test_a_batch_that_failed_anywhere_goes_on(spark, replica, monkeypatch):
     assert [t.table_name for t in replica.catalog("replica_tables").where("not enabled").collect()] == ["keep"]
 
 
+def test_a_batch_writes_what_it_changes(spark, replica, tmp_path):
+    spark.range(20_000).selectExpr("id", "repeat(md5(string(id)), 4) as v").repartition(4).write.parquet(str(tmp_path / "large"))
+    replica.sync_tables("one", "shop.t", {"shop.t": str(tmp_path / "large")}, {"shop.t": ["id"]}, (1, 15))
+    folder = tmp_path / "store" / "dw" / "t"
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    whole = size()
+    model = {(i,): None for i in range(20_000)}
+    for batch in range(6):
+        first = 100 * batch + 2
+        rows = [("update", first), ("delete", first + 1), ("insert", 30_000 + batch), ("update", 30_000 + batch - 1), ("delete", 40_000)]
+        log = [event(10 * batch + k + 2, op, "t", {"id": i, "v": f"{op} {batch}"}, None if op == "insert" else {"id": i, "v": "x"}) for k, (op, i) in enumerate(rows)]
+        log.append(event(10 * batch + 8, "update", "t", {"id": 50_000 + batch, "v": f"moved {batch}"}, {"id": first, "v": "x"}))
+        replica.replay_batch("one", spark.createDataFrame(log, SCHEMA), batch)
+        model, clash = replay.sequential([*((op, (i,), None, f"{op} {batch}") for op, i in rows), ("update", (50_000 + batch,), (first,), f"moved {batch}")], model)
+        assert clash is None
+    assert size() < whole * 1.2
+    levels = replica.store._pointer("dw.t")["levels"]
+    assert 1 <= len(levels) <= 4 and all(a["rows"] >= 2 * b["rows"] for a, b in zip(levels, levels[1:]))
+    wanted = {k[0]: v for k, v in model.items()}
+
+    def holds():
+        found = replica.store.read("dw.t").collect()
+        assert len(found) == len(wanted) and {r.id: None if wanted[r.id] is None else r.v for r in found} == wanted
+
+    holds()
+    replica.run_maintenance("one")
+    assert not replica.store._pointer("dw.t").get("levels") and len([d for d in folder.iterdir() if d.is_dir()]) == 1
+    holds()
+    replica.replay_batch("one", spark.createDataFrame([event(90, "insert", "t", {"id": 7, "v": "clash"}), event(91, "delete", "t", None, {"id": 8, "v": "x"})], SCHEMA), 6)
+    assert [e.event_id for e in replica.show_errors().collect()] == [90]
+    holds()
+
+
 def test_exit_keeps_what_comes_before(spark, replica, tmp_path):
     replica.config = Config.of(RAW | {"sources": {"one": RAW["sources"]["one"] | {"on_error_replay": "exit"}}})
     log = mixed_batch(spark).unionByName(spark.createDataFrame([event(11, "insert", "t", {"id": 1, "v": "x", "n": 0}), event(12, "insert", "u", {"k": 2})], SCHEMA))

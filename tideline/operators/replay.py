@@ -19,16 +19,31 @@ def fold(changes: DataFrame, key: list[str], columns: list[str], base: DataFrame
 
     Events with a null key match nothing and are left out. ``base`` has the rows before the log, with the same columns.
     """
-    events = changes.where(_all_set(key))
-    turn = F.when(F.col(op) != "update", F.col(order))
-    folded = events.groupBy(*key).agg(F.max_by(op, turn).alias("_last"), F.max_by(F.struct(*(columns or [order])), order).alias("_row"))
-    rows = [F.col(f"_row.{c}").alias(c) for c in columns]
+    folded = _folded(changes, key, columns, op, order)
     if base is None:
-        return folded.where("_last = 'insert'").select(*key, *rows)
-    known = base.select(*key).withColumn("_known", F.lit(True))
-    exists = (F.col("_last") == "insert") | (F.col("_last").isNull() & F.col("_known"))
-    changed = folded.join(known, key, "left").where(exists).select(*key, *rows)
-    return base.select(*key, *columns).join(folded.select(*key), key, "left_anti").unionByName(changed)
+        return folded.where("_last = 'insert'").select(*key, *(F.col(f"_row.{c}").alias(c) for c in columns))
+    now = _settled(folded, key, columns, base).where("not _gone").drop("_gone")
+    return base.select(*key, *columns).join(folded.select(*key), key, "left_anti").unionByName(now)
+
+
+def changed(changes: DataFrame, key: list[str], columns: list[str], base: DataFrame, op: str = "op", order: str = "event_id") -> DataFrame:
+    """What ``fold`` changes in base: key, columns and ``_gone``, a row for each key that is there afterwards or was before.
+
+    Only the keys of base are read; those that no event has may be missing from it.
+    """
+    return _settled(_folded(changes, key, columns, op, order), key, columns, base)
+
+
+def _folded(changes: DataFrame, key: list[str], columns: list[str], op: str, order: str) -> DataFrame:
+    turn = F.when(F.col(op) != "update", F.col(order))
+    return changes.where(_all_set(key)).groupBy(*key).agg(F.max_by(op, turn).alias("_last"), F.max_by(F.struct(*(columns or [order])), order).alias("_row"))
+
+
+def _settled(folded: DataFrame, key: list[str], columns: list[str], base: DataFrame) -> DataFrame:
+    seen = folded.join(base.select(*key).withColumn("_known", F.lit(True)), key, "left")
+    stays = (F.col("_last") == "insert") | (F.col("_last").isNull() & F.col("_known"))
+    gone = ~F.coalesce(stays, F.lit(False))
+    return seen.withColumn("_gone", gone).where("not _gone or _known").select(*key, *(F.col(f"_row.{c}").alias(c) for c in columns), "_gone")
 
 
 def latest(changes: DataFrame, key: list[str], order: str = "event_id") -> DataFrame:

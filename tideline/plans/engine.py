@@ -285,19 +285,21 @@ class Replica:
         good = read.where("not _bad")
         flat = good.select(F.col("event_id").alias(at), F.col("op").alias(op), *(F.coalesce(F.col(f"_a.`{c}`"), F.when((F.col("op") == "delete") & no_after, F.col(f"_b.`{c}`"))).alias(c) for c in rows.names), *(F.coalesce(F.col(f"_b.`{k}`"), F.col(f"_a.`{k}`")).alias(f"_before_{k}") for k in key))
         flat, old = flat.persist(), [f"_before_{k}" for k in key]
+        keys = flat.select(*key).unionByName(flat.select(*(F.col(b).alias(k) for b, k in zip(old, key, strict=True)))).distinct()
+        there = base.select(*key).join(keys, key, "left_semi").persist()  # all that a batch asks of the table: which of its keys are there
         events_of = flat
         try:
             if not probe:
                 lost = read.where("_bad").select(F.lit(batch_id).cast("long").alias("batch_id"), "source", "schema_name", "table_name", "event_id", F.lower(F.hex(F.coalesce("after", "before", F.lit("")))).alias("row_data"))
                 if not lost.isEmpty():
                     self._put("discarded_rows", lost)
-            events_of = replay.split_key_changes(replay.settle_key_changes(flat, key, old, base, op, at), key, old, op, at).drop(*old).persist()
+            events_of = replay.split_key_changes(replay.settle_key_changes(flat, key, old, there, op, at), key, old, op, at).drop(*old).persist()
             whole = f"{op} <> 'insert' or {at} % 2 = 0"  # the second half of a key change isn't counted
             n = events_of.where(whole).count()
             if not n:
                 return 0, None
             table_of = events_of.withColumn("_table", F.lit(table))
-            clash = replay.conflicts(table_of, ["_table", *key], base.select(*key).withColumn("_table", F.lit(table)), op, at)
+            clash = replay.conflicts(table_of, ["_table", *key], there.withColumn("_table", F.lit(table)), op, at)
             first = replay.errors(clash, ["_table"], key, at).first()
             failure = None
             if first is not None:
@@ -306,12 +308,13 @@ class Replica:
                 n = events_of.where(whole).count()
             if not probe:
                 applied = {"batch": batch_id, "upto": upto, "n": done.get("n", 0) + n, "failure": failure}
-                self.store.write(full, replay.fold(events_of, key, values, base, op, at).select(*rows.names), info | {"applied": applied})
+                delta = replay.changed(events_of, key, values, there, op, at)
+                self.store.append(full, delta.select(F.struct(*rows.names).alias("row"), F.col("_gone").alias("gone")), key, info | {"applied": applied})
                 if failure:
                     self._disable(known, failure)
             return n, failure
         finally:
-            for frame in (events_of, flat, read):
+            for frame in (events_of, there, flat, read):
                 frame.unpersist()
 
     def _consistent(self, name: str, mark: object) -> None:
@@ -349,9 +352,15 @@ class Replica:
         return out
 
     def run_maintenance(self, name: str) -> int:
-        """CT4, CT5: old versions of the source's tables go."""
+        """CT4, CT5: the source's tables are compacted and their old versions go."""
         self._retire(name)
-        return sum(self.store.vacuum(f"{r.destination}.{r.table_name}") for r in self.catalog("replica_tables").where(F.col("source") == name).collect() if self.store.exists(f"{r.destination}.{r.table_name}"))
+        gone = 0
+        for r in self.catalog("replica_tables").where(F.col("source") == name).collect():
+            full = f"{r.destination}.{r.table_name}"
+            if self.store.exists(full):
+                self.store.compact(full)
+                gone += self.store.vacuum(full)
+        return gone
 
     def _retire(self, name: str) -> None:
         """FL10, DM8: records of batches older than batch_retention go; the newest stays, as it tells what is done."""

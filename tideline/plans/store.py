@@ -1,7 +1,9 @@
 """Versioned tables without a table format: immutable Parquet directories and an atomically renamed pointer (H1, SK9, SK10, SK11, CT4, CT6).
 
-``root/<schema>/<table>/v-<n>`` holds a version; ``_current`` names the one that counts. Readers never see half a
-write. One writer at a time, as one replica has.
+``root/<schema>/<table>/v-<n>`` holds a version; ``_current`` names what counts: a directory of whole rows and, over it,
+levels of changed rows. A batch writes its changes alone; a level goes into the one below once that is less than twice
+as large, so a row is written again as often as the logarithm of its table's size, and as many levels are read. Readers
+never see half a write. One writer at a time, as one replica has.
 """
 
 from __future__ import annotations
@@ -9,10 +11,12 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -92,7 +96,59 @@ class Store:
         found = self._pointer(table)
         if found is None:
             raise KeyError(f"no table {table}")
-        return self.spark.read.schema(StructType.fromJson(found["schema"])).parquet(f"{self.root}/{table.replace('.', '/')}/{found['dir']}")
+        base = self.spark.read.schema(StructType.fromJson(found["schema"])).parquet(f"{self._folder(table)}/{found['dir']}")
+        if not found.get("levels"):
+            return base
+        changes = self._changes(table, found, found["levels"])
+        keys = changes.select(*(F.col(f"row.`{k}`").alias(k) for k in found["key"]))
+        return base.join(keys, found["key"], "left_anti").select(*(F.col(f"`{c}`") for c in base.columns)).unionByName(changes.where("not gone").select("row.*"))
+
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/{table.replace('.', '/')}"
+
+    def _changes(self, table: str, found: dict[str, Any], levels: list[dict[str, Any]]) -> DataFrame:
+        """row and gone of some levels: the last of each key."""
+        kind = StructType([StructField("row", StructType.fromJson(found["schema"])), StructField("gone", BooleanType())])
+        frames = [self.spark.read.schema(kind).parquet(f"{self._folder(table)}/{level['dir']}") for level in levels]
+        if len(frames) == 1:
+            return frames[0]
+        whole = reduce(DataFrame.unionByName, (f.withColumn("level", F.lit(i)) for i, f in enumerate(frames)))
+        keys = [F.col(f"row.`{k}`").alias(f"k{i}") for i, k in enumerate(found["key"])]
+        return whole.groupBy(*keys).agg(F.max_by(F.struct("row", "gone"), "level").alias("last")).select("last.*")
+
+    def append(self, table: str, changes: DataFrame, key: list[str], info: dict[str, Any]) -> None:
+        """A version with changed rows over what is there: ``row``, a struct of all columns, and ``gone``; a row for a key at most."""
+        found = self._pointer(table)
+        if found is None:
+            raise KeyError(f"no table {table}")
+        made = {"dir": f"v-{found['version'] + 1}-{uuid.uuid4().hex[:8]}"}
+        changes.write.parquet(f"{self._folder(table)}/{made['dir']}")
+        made["rows"] = self._changes(table, found, [made]).count()
+        if "rows" not in found:
+            found["rows"] = self.spark.read.parquet(f"{self._folder(table)}/{found['dir']}").count()
+        levels = found.get("levels", []) + ([made] if made["rows"] else [])
+        self.publish({"table": table} | found | {"version": found["version"] + 1, "key": key, "levels": levels, "info": info})
+        self._settle(table)
+
+    def _settle(self, table: str) -> None:
+        """Levels that are too alike in size become one; rows and what is kept with the table stay as they are."""
+        found = self._pointer(table)
+        levels = found["levels"]
+        sizes = [found["rows"], *(level["rows"] for level in levels)]
+        first, total = len(sizes) - 1, sizes[-1]
+        while first and sizes[first - 1] < 2 * total:
+            first -= 1
+            total += sizes[first]
+        if first == len(sizes) - 1:
+            return
+        if not first:
+            self.compact(table)
+            return
+        number = found["version"] + 1
+        merged = {"dir": f"v-{number}-{uuid.uuid4().hex[:8]}"}
+        self._changes(table, found, levels[first - 1 :]).write.parquet(f"{self._folder(table)}/{merged['dir']}")
+        merged["rows"] = self._changes(table, found, [merged]).count()
+        self.publish({"table": table} | found | {"version": number, "levels": [*levels[: first - 1], merged]})
 
     def stage(self, table: str, rows: DataFrame, info: dict[str, Any] | None = None) -> dict[str, Any]:
         """SK11: a version written but not yet published."""
@@ -146,15 +202,17 @@ class Store:
 
     def vacuum(self, table: str) -> int:
         """CT4: versions that no longer count are deleted; returns how many."""
-        found, path = self._pointer(table), self._path(f"{self.root}/{table.replace('.', '/')}")
+        found, path = self._pointer(table), self._path(self._folder(table))
+        needed = {found["dir"], *(level["dir"] for level in found.get("levels", []))} if found else set()
         gone = 0
         for s in self._fs.listStatus(path) if found else ():
             name = s.getPath().getName()
-            if s.isDirectory() and name.startswith("v-") and name != found["dir"]:
+            if s.isDirectory() and name.startswith("v-") and name not in needed:
                 self._fs.delete(s.getPath(), True)
                 gone += 1
         return gone
 
-    def compact(self, table: str, files: int = 1) -> None:
-        """CT4: a table rewritten to fewer files."""
-        self.write(table, self.read(table).coalesce(files))
+    def compact(self, table: str) -> None:
+        """CT4: a table with its levels rewritten as whole rows."""
+        if (self._pointer(table) or {}).get("levels"):
+            self.write(table, self.read(table))
