@@ -38,6 +38,17 @@ def components(rows, n, num, den):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def n_links(rows, n, num, den):
+    """doc_id -> how many others its set links with."""
+    out = Counter({i: 0 for i, _ in rows})
+    for i, (a, text) in enumerate(rows):
+        for b, other in rows[:i]:
+            two = components([(0, text), (1, other)], n, num, den)
+            if two[1][1] == 0:
+                out.update((a, b))
+    return dict(out)
+
+
 def suffix_dedup(rows, window):
     raw = [(i, (t or "").encode()) for i, t in rows]
     seen = Counter(r[s : s + window] for _, r in raw for s in range(len(r) - window + 1))

@@ -33,9 +33,11 @@ def test_against_brute_force(frame, monkeypatch, n, num, small):
     if small:  # groups fall into many parts
         monkeypatch.setattr(jaccard_join, "PARTS_CAP", 3)
         monkeypatch.setattr(jaccard_join, "BLOCK_CAP", 3)
+        monkeypatch.setattr(jaccard_join, "LINK_CAP", 2)
     rows = corpus(num + small)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(frame(rows), n, num, 100).collect()}
-    assert got == brute.components(rows, n, num, 100)
+    found = ngram_jaccard_join(frame(rows), n, num, 100, links=True).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.components(rows, n, num, 100)
+    assert {r.doc_id: r.n_links for r in found} == brute.n_links(rows, n, num, 100)
 
 
 def test_nulls_repeats_and_empty(frame):
@@ -43,6 +45,17 @@ def test_nulls_repeats_and_empty(frame):
     got = ngram_jaccard_join(frame([(None, text), (4, text), (4, text), (9, text), (4, "other words in this one here")]), 3, 90, 100).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (4, 4), (4, 4), (4, 4), (9, 4)]
     assert ngram_jaccard_join(frame([]), 3, 90, 100).count() == 0
+    rows = [(None, text), (4, text), (4, text), (9, text + " i j k l m n o p q r s t u v"), (10, text + " i j k l m n o p q r s t u w"), (4, "other words in this one here"), (11, None)]
+    counted = ngram_jaccard_join(frame(rows), 3, 90, 100, links=True).collect()
+    assert sorted((r.doc_id or -1, r.n_shingles, r.n_links) for r in counted) == [(-1, 6, 0), (4, 4, 0), (4, 6, 1), (4, 6, 1), (9, 20, 1), (10, 20, 1), (11, 0, 0)]
+    assert ngram_jaccard_join(frame([]), 3, 90, 100, links=True).count() == 0
+
+
+def test_a_part_holds_few_shingles(frame, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LINK_SHINGLES", 1000)
+    rows = near_copies(40)
+    got = {r.doc_id: r.n_links for r in ngram_jaccard_join(frame(rows), 3, 90, 100, links=True).collect()}
+    assert got == brute.n_links(rows, 3, 90, 100)
 
 
 def test_trees_lose_no_pair():

@@ -21,6 +21,10 @@ within parts of a bounded size; then one member for each component of a part,
 again and again while there are parts; then parts that are formed anew by
 component and by size. Two parts of one component need not meet, nor two whose
 sizes are too far apart, so near copies cost in proportion to their number.
+
+Numbers of links, if asked for, need every pair of a component's classes that the
+trees can't rule out: a component's classes are dealt to parts, each two parts meet
+in a task, and each task gives one number for each of its classes.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ FANOUT = 8
 COARSE_BITS, FINE_BITS, SAMPLE = 512, 8192, 4
 PARTS_CAP, BLOCK_CAP = 128, 512
 FEW_TEXTS = 300
+LINK_CAP, LINK_SHINGLES = 1024, 1_000_000  # classes, and shingles in all, of a part when links are counted
 FEW = 100_000  # rows that may be broadcast; more are joined by a shuffle
 MISS = 1e-11
 
@@ -77,6 +82,31 @@ def _shingles(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(text, np.arange(len(raw) + 1))
 
 
+def prints(tokens: np.ndarray, first: np.ndarray, random: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit fingerprints of each set; 0 for an empty one."""
+    full = np.flatnonzero(np.diff(first))
+    out = [np.zeros(len(first) - 1, np.uint64) for _ in range(2)]
+    if len(full):
+        for k, p in enumerate(out):
+            p[full] = np.add.reduceat(hashing.mix(tokens + random[k, 0]), first[full])
+    return out
+
+
+def common(code: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets a and b. code: all sets' tokens as numbers from 0; no set is empty."""
+    out, there = np.zeros(len(a), np.int64), np.zeros(int(code.max()) + 1, bool)
+    order = np.argsort(a, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+        own = code[first[a[at[0]]] : first[a[at[0]] + 1]]
+        there[own] = True
+        sizes = first[b[at] + 1] - first[b[at]]
+        begins = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) + np.repeat(first[b[at]] - begins, sizes)
+        out[at] = np.add.reduceat(there[code[place]].astype(np.int64), begins)
+        there[own] = False
+    return out
+
+
 def bitmaps(tokens: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
     """A bitmap (uint64 words) for each set."""
     n = len(first) - 1
@@ -175,12 +205,16 @@ class Union:
         return a != b
 
 
+def _constants(bands: int) -> np.ndarray:
+    return np.random.default_rng(20).integers(1, 1 << 63, size=(2, 2 * bands), dtype=np.uint64)
+
+
 SETS = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, map binary, sampled int"
 
 
 def _sets(docs: DataFrame, n: int, bands: int) -> DataFrame:
     """Of each document: the size of its set, its fingerprint, its band keys and its coarse bitmap."""
-    random = np.random.default_rng(20).integers(1, 1 << 63, size=(2, 2 * bands), dtype=np.uint64)
+    random = _constants(bands)
 
     def made(ids: list, rows: list) -> list:
         raw, out = [t.encode() for t in rows], [[] for _ in range(7)]
@@ -188,18 +222,16 @@ def _sets(docs: DataFrame, n: int, bands: int) -> DataFrame:
             tokens, first = shingles(raw[a:b], n)
             sizes = np.diff(first)
             full = np.flatnonzero(sizes)
-            prints = [np.zeros(b - a, np.uint64) for _ in range(2)]
+            marks = prints(tokens, first, random)
             keys = np.zeros((bands, b - a), np.uint64)
             if len(full):
-                for k, p in enumerate(prints):
-                    p[full] = np.add.reduceat(hashing.mix(tokens + random[k, 0]), first[full])
                 for k in range(bands):
                     low = [np.minimum.reduceat((tokens ^ random[0, j]) * (random[1, j] | np.uint64(1)), first[full]) for j in (2 * k, 2 * k + 1)]
                     keys[k, full] = hashing.mix(low[0] + hashing.mix(low[1] + np.uint64(k)))
             some = tokens >> np.uint64(20) & np.uint64(SAMPLE - 1) == 0
             count = np.concatenate([[0], np.cumsum(some)])[first]
             maps = bitmaps(tokens[some], count, COARSE_BITS)
-            for column, values in zip(out, (ids[a:b], sizes, *(p.view(np.int64) for p in prints), list(keys.T.copy().view(np.int64)), [m.tobytes() for m in maps], np.diff(count)), strict=True):
+            for column, values in zip(out, (ids[a:b], sizes, *(p.view(np.int64) for p in marks), list(keys.T.copy().view(np.int64)), [m.tobytes() for m in maps], np.diff(count)), strict=True):
                 column.extend(values)
         return out
 
@@ -291,12 +323,7 @@ def _fine(rows: DataFrame, keys: list[str], by: str, n: int, num: int, den: int)
         press = zstandard.ZstdDecompressor()
         pressed = table.column("z").to_pylist()
         out = []
-        at = np.flatnonzero(np.bincount(groups)[groups] > 1)
-        begin = 0
-        while begin < len(at):  # whole groups, up to about FEW_TEXTS at a time
-            end = int(np.searchsorted(groups[at], groups[at[begin + FEW_TEXTS]], "right")) if begin + FEW_TEXTS < len(at) else len(at)
-            rows = at[begin:end]
-            begin = end
+        for rows in _few_texts(groups):
             tokens, first = shingles([press.decompress(pressed[r]) for r in rows], n)
             sizes = np.diff(first)
             owner = groups[rows]
@@ -318,6 +345,16 @@ def _fine(rows: DataFrame, keys: list[str], by: str, n: int, num: int, den: int)
     return _grouped(rows.select(*dict.fromkeys([*keys, by, "doc_id", "comp", "z"])), keys, made, f"{by} long, doc_id long, comp long, least long")
 
 
+def _few_texts(groups: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of the groups of two or more: whole groups, up to about FEW_TEXTS rows at a time."""
+    at = np.flatnonzero(np.bincount(groups)[groups] > 1)
+    begin = 0
+    while begin < len(at):
+        end = int(np.searchsorted(groups[at], groups[at[begin + FEW_TEXTS]], "right")) if begin + FEW_TEXTS < len(at) else len(at)
+        yield at[begin:end]
+        begin = end
+
+
 def _dealt(rows: DataFrame, by: list[str], cap: int, turn: int = 0) -> DataFrame:
     """rows with members (of their group) and part: groups of more than cap members in parts of about cap."""
     sizes = stored(rows.groupBy(*by).agg(F.count("*").alias("members")).where(f"members > {cap}"), "sizes")
@@ -384,9 +421,59 @@ def _fine_links(clustered: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return _in_rounds(clustered, "cluster", PARTS_CAP, num, den, lambda rows, keys: _fine(rows, keys, "cluster", n, num, den))
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _in_classes(clustered: DataFrame, n: int, random: np.ndarray) -> DataFrame:
+    """doc_id, n_shingles, f1, f2 and z of each class in clustered, once."""
+
+    def made(ids: list, pressed: list) -> list:
+        press = zstandard.ZstdDecompressor()
+        tokens, first = shingles([press.decompress(z) for z in pressed], n)
+        return [ids, np.diff(first), *(p.view(np.int64) for p in prints(tokens, first, random)), pressed]
+
+    found = by_columns(clustered.select("doc_id", "z"), made, "doc_id long, n_shingles long, f1 long, f2 long, z binary")
+    return found.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "z")).alias("r")).select("f1", "f2", "r.*")
+
+
+def _other_links(classes: DataFrame, kinds: DataFrame, roots: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """f1, f2 and links: of each class, the rows of all other classes that it links with. classes: as of _in_classes."""
+
+    def made(table: pa.Table) -> list:
+        groups = _group_numbers(table, keys)
+        press = zstandard.ZstdDecompressor()
+        pressed = table.column("z").to_pylist()
+        weight, f1, f2, p, q, part = (table.column(c).to_numpy() for c in ("weight", "f1", "f2", "p", "q", "part"))
+        out = []
+        for rows in _few_texts(groups):
+            tokens, first = shingles([press.decompress(pressed[r]) for r in rows], n)
+            sizes, code = np.diff(first), np.unique(tokens, return_inverse=True)[1]
+            links = np.zeros(len(rows), np.int64)
+            # Those of one part meet where it meets itself.
+            forest = Forest(groups[rows], sizes, bitmaps(tokens, first, FINE_BITS), sizes, np.where(p[rows] == q[rows], -1, part[rows]))
+            for a, b in forest.pairs(num, den):
+                both = common(code, first, a, b)
+                near = den * both >= num * (sizes[a] + sizes[b] - both)
+                np.add.at(links, a[near], weight[rows][b[near]])
+                np.add.at(links, b[near], weight[rows][a[near]])
+            far = np.flatnonzero(links)
+            out.append((f1[rows][far], f2[rows][far], links[far]))
+        return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+
+    keys = ["comp", "p", "q"]
+    found = stored(classes.join(kinds.select("f1", "f2", "weight"), ["f1", "f2"]).join(roots.select(F.col("node").alias("doc_id"), F.col("root").alias("comp")), "doc_id"), "linked")
+    parts = F.ceil(F.greatest(F.count("*") / LINK_CAP, F.sum("n_shingles") / LINK_SHINGLES)).cast("int")
+    sizes = stored(found.groupBy("comp").agg(parts.alias("parts")).where("parts > 1"), "sizes")
+    dealt = found.join(F.broadcast(sizes) if sizes.count() <= FEW else sizes, "comp", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    meeting = dealt.select("comp", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "f1", "f2", "weight", "z")
+    return _grouped(meeting, keys, made, "f1 long, f2 long, links long").groupBy("f1", "f2").agg(F.sum("links").alias("links"))
+
+
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", links: bool = False) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest doc_id that links reach from it, itself included.
 
+    With ``links`` also n_links: how many other rows link with the row itself, copies among them (0 for a null id). A
+    component's distinct sets are then compared in pairs as far as the trees can't rule them out: time by the square of
+    their number, but no task holds more than two parts of them and no pair leaves a task.
+
     Two documents link if den * intersection >= num * union of their sets of n-word shingles. A text of fewer words
     has the whole sequence as its one shingle; a null or empty one, or one without words, has an empty set and no links.
     Rows with a null id have a null component and take no part; rows with equal ids are one document, so whatever links
@@ -396,9 +483,10 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     base = texts(docs, id_col, text_col)
     sets = stored(_sets(base, n, bands_for(num / den)), "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
-    kinds = stored(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "kinds")
+    kinds = stored(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight")), "kinds")
     members = stored(full.select("doc_id", "f1", "f2").join(kinds, ["f1", "f2"]).select("doc_id", "rep"), "members")
-    discard(kinds)
+    if not links:
+        discard(kinds)
     # One row for each class: of its member with the least id.
     classes = full.join(members.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     clusters = components(_coarse_links(classes, num, den))
@@ -407,7 +495,14 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     # Rows with one id and several sets tie those sets' classes together.
     tied = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("doc_id", "b")
     tied = members.join(tied, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    links = _fine_links(clustered, n, num, den).unionByName(tied)
-    roots = components(links)
+    roots = components(_fine_links(clustered, n, num, den).unionByName(tied))
     found = members.join(roots, members["rep"] == roots["node"], "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"))
-    return sets.select("doc_id", "n_shingles").join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.coalesce("component_id", "doc_id").alias("component_id")
+    if not links:
+        return sets.select("doc_id", "n_shingles").join(found, "doc_id", "left").select("doc_id", "n_shingles", component)
+    others = _other_links(_in_classes(clustered, n, _constants(bands_for(num / den))), kinds, roots, n, num, den)
+    counts = kinds.join(others, ["f1", "f2"], "left").select("f1", "f2", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    counts = stored(counts.where("n_links > 0"), "counts")
+    rows = stored(sets.select("doc_id", "n_shingles", "f1", "f2").join(counts, ["f1", "f2"], "left"), "rows")
+    n_links = F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")
+    return rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", component, n_links)

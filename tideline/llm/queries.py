@@ -20,7 +20,7 @@ def tokenizer_path(name: str) -> str:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.jaccard_join import ngram_jaccard_join
 
-    return ngram_jaccard_join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"), n=3, num=90, den=100, links=True)
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
