@@ -195,6 +195,25 @@ def test_stream(spark, replica, tmp_path):
     assert replica.show_status().count() == 1
 
 
+def test_enum_values_are_enforced(spark, replica):
+    log = spark.createDataFrame([
+        event(2, "ddl", "e", ddl="CREATE TABLE e (k INT PRIMARY KEY, c ENUM('x','y'))"), event(3, "insert", "e", {"k": 1, "c": "x"}), event(4, "insert", "e", {"k": 2, "c": "z"}), event(5, "insert", "e", {"k": 3, "c": None}),
+        event(6, "ddl", "e", ddl="ALTER TABLE e MODIFY c ENUM('y','z'), ADD d ENUM('p') DEFAULT 'p'"), event(7, "update", "e", {"k": 3, "c": "z", "d": "p"}, {"k": 3, "c": None, "d": "p"}),
+        event(8, "insert", "e", {"k": 4, "c": "y", "d": "q"}), event(9, "delete", "e", None, {"k": 1, "c": "x", "d": "p"}),
+    ], SCHEMA)
+    replica.replay_batch("one", log, 0)
+    assert state(replica, "dw.e") == [(3, "z", "p")]
+    assert sorted(r.event_id for r in replica.catalog("discarded_rows").collect()) == [4, 8]
+
+
+def test_maintenance_when_due(spark, replica):
+    assert not replica.maintain_if_due("one", 10**9)
+    replica.config = Config.of(RAW | {"sources": {"one": RAW["sources"]["one"] | {"auto_maintenance": "1 hour"}}})
+    replica.replay_batch("one", spark.createDataFrame([event(2, "insert", "t", {"id": 5, "v": "x"})], SCHEMA), 0)
+    assert [replica.maintain_if_due("one", 10**9 + s) for s in (0, 3000, 3601)] == [True, False, True]
+    assert replica.version() == 1 and state(replica, "dw.t") == [(1, "a"), (2, "b"), (5, "x")]
+
+
 def test_rules():
     source = Config.of(RAW).sources["one"]
     rules = TableRules.of(source, "shop.t,shop.hidden")

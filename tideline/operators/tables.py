@@ -71,6 +71,11 @@ def sequence_values(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     return greatest.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("last_value")) for c in columns))).alias("r")).select("r.*")
 
 
+def serials(columns: DataFrame) -> DataFrame:
+    """FL15: columns (with column_default) that a sequence fills."""
+    return columns.where(F.col("column_default").like("nextval%"))
+
+
 def active(sources: DataFrame) -> DataFrame:
     """FL13: sources that are neither ready nor stopped nor in any other state of rest."""
     return sources.where(~F.col("status").isin("ready", "initialised", "synced", "stopped", "error"))

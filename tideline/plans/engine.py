@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import re
+import threading
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline.functions.types import spark_type, typed
-from tideline.operators import replay, routing, tables
+from tideline.operators import batches, replay, routing, tables
 from tideline.plans.evolve import apply_statement
 from tideline.plans.store import Store
 from tideline.sources import ddl
-from tideline.sources.changelog import bad_image, image, read_table
+from tideline.sources.changelog import bad_image, image, not_allowed, read_table
 from tideline.sources.config import Config, TableRules, duplicate_destinations
 
 CATALOG = "_catalog"
 VERSION = 1
+#: Tables of an epoch that are replayed at a time.
+ABREAST = 8
 STATES = ("ready", "initialising", "initialised", "syncing", "synced", "running", "stopped", "error")
 #: The catalog's tables.
 TABLES = {
@@ -41,6 +46,7 @@ class Replica:
 
     def __init__(self, spark: SparkSession, config: Config, root: str) -> None:
         self.spark, self.config, self.store = spark, config, Store(spark, root)
+        self._putting = threading.RLock()
 
     # Catalog
 
@@ -62,8 +68,9 @@ class Replica:
 
     def _put(self, name: str, rows: list[tuple] | DataFrame) -> None:
         frame = rows if isinstance(rows, DataFrame) else self.spark.createDataFrame(rows, TABLES[name])
-        old = self.catalog(name)
-        self.store.write(f"{CATALOG}.{name}", tables.upsert(old, frame, KEYS[name]) if name in KEYS else old.unionByName(frame))
+        with self._putting:  # tables are replayed side by side
+            old = self.catalog(name)
+            self.store.write(f"{CATALOG}.{name}", tables.upsert(old, frame, KEYS[name]) if name in KEYS else old.unionByName(frame))
 
     def _source(self, name: str) -> dict:
         found = self.catalog("sources").where(F.col("source") == name).first()
@@ -196,7 +203,7 @@ class Replica:
         """What is applied of a batch is kept with each table (``applied``, ``ddl``), so a batch that failed goes on where it was.
 
         With ``exit`` all tables are applied up to the first conflict of any, which ends the replay; the batch's record
-        isn't written, so a later try stops there again until the table is copied anew.
+        isn't written, so a later try stops there again until the table is copied anew. An epoch's tables go side by side.
         """
         total, n_ddl = kept.count(), 0
         touched = [(r.schema_name, r.table_name, r.destination) for r in kept.where("op <> 'ddl'").select("schema_name", "table_name", "destination").distinct().collect()]
@@ -208,13 +215,12 @@ class Replica:
             epoch = kept.where((F.lit(True) if begin is None else F.col("event_id") > begin) & (F.col("event_id") < stop))
             failure = None
             if on_error == "exit":
-                found = [f for schema, table, destination in touched if (f := self._table(name, epoch, schema, table, destination, batch_id, stop, probe=True)[1])]
-                failure = min(found, key=lambda f: f["event_id"], default=None)
+                probed = self._abreast(touched, lambda t, log=epoch, upto=stop: self._table(name, log, *t, batch_id, upto, probe=True)[1])
+                failure = min(filter(None, probed), key=lambda f: f["event_id"], default=None)
                 if failure:
                     stop, statement = failure["event_id"], None
                     epoch = epoch.where(F.col("event_id") < stop)
-            for schema, table, destination in touched:
-                replayed += self._table(name, epoch, schema, table, destination, batch_id, stop)[0]
+            replayed += sum(self._abreast(touched, lambda t, log=epoch, upto=stop: self._table(name, log, *t, batch_id, upto)[0]))
             if failure:
                 self._put("error_log", [tuple(failure[f] for f in StructType.fromDDL(TABLES["error_log"]).names)])
                 self._set(name, status="error")
@@ -231,6 +237,12 @@ class Replica:
         self._put("batches", [(batch_id, name, replayed, skipped, n_ddl, last)])  # last, as it tells that all is done
         return {"replayed": replayed, "skipped": skipped, "ddl": n_ddl}
 
+    def _abreast(self, found: Sequence[tuple], f: Callable[[tuple], object]) -> list:
+        """f of each, some at a time. If one fails the others are still done; a later try goes on from there."""
+        with ThreadPoolExecutor(ABREAST) as pool:
+            begun = [pool.submit(inheritable_thread_target(self.spark)(f), each) for each in found]  # a wrapper, and properties, for each
+        return [b.result() for b in begun]
+
     def _applied(self, full: str, batch_id: int) -> dict:
         found = self.store.info(full).get("applied", {})
         return found if found.get("batch") == batch_id else {}
@@ -278,6 +290,7 @@ class Replica:
         read = events.withColumn("_a", image(F.col("after"), rows)).withColumn("_b", image(F.col("before"), rows))
         bad_after, bad_before = (bad_image(F.col(text), F.col(read), rows) for text, read in (("after", "_a"), ("before", "_b")))
         no_after = F.col("after").isNull()
+        bad_after = bad_after | ((F.col("op") != "delete") & not_allowed(F.col("_a"), rows))
         bad = F.when(F.col("op") == "delete", F.when(F.col("before").isNull(), no_after | bad_after).otherwise(bad_before)).otherwise(no_after | bad_after | ((F.col("op") == "update") & bad_before))
         read = read.withColumn("_bad", bad).persist()
         values = [c for c in rows.names if c not in key]
@@ -362,6 +375,29 @@ class Replica:
                 gone += self.store.vacuum(full)
         return gone
 
+    def maintain_if_due(self, name: str, now: int | None = None) -> bool:
+        """CT5, FL11: maintenance if the last one is longer ago than the source's auto_maintenance says."""
+        every = self.config.sources[name].auto_maintenance
+        if every == "disabled":
+            return False
+        now = int(time.time()) if now is None else now
+        known = self.store.info(f"{CATALOG}.sources").get("maintained", {})
+        at = lambda seconds: F.timestamp_seconds(F.lit(seconds)).cast("timestamp_ntz")
+        last = self.spark.createDataFrame([(name,)], "source string").withColumn("last_maintenance", at(known.get(name, 0)))
+        if batches.maintenance_due(last, at(now), every).isEmpty():
+            return False
+        self.run_maintenance(name)
+        self.store.note(f"{CATALOG}.sources", maintained=known | {name: now})
+        return True
+
+    def validate_foreign_keys(self, keys: Sequence[tuple[str, str, Sequence[tuple[str, str]]]]) -> DataFrame:
+        """CT2, CT12: child, parent and n, the child's rows without a parent, for each key (child, parent, pairs of columns) of stored tables."""
+        found = self.spark.createDataFrame([], "child string, parent string, n long")
+        for child, parent, on in keys:
+            lost = tables.orphans(self.store.read(child), self.store.read(parent), on)
+            found = found.unionByName(lost.agg(F.count("*").alias("n")).select(F.lit(child).alias("child"), F.lit(parent).alias("parent"), "n"))
+        return found
+
     def _retire(self, name: str) -> None:
         """FL10, DM8: records of batches older than batch_retention go; the newest stays, as it tells what is done."""
         known = self.catalog("batches")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tideline.functions.types import Override, spark_type
 from tideline.plans.store import Store
@@ -22,8 +23,33 @@ def table_schema(statement: ddl.CreateTable, overrides: Mapping[str, Override] |
     """DG2: an empty table's schema; allowed values of an enum are kept as metadata."""
     fields = []
     for c in statement.columns:
-        extra = {"allowed": list(c.enum_list)} if c.enum_list and c.data_type == "enum" else {}
-        fields.append(StructField(c.name, column_type(c, statement.name, overrides), c.nullable, extra))
+        fields.append(StructField(c.name, column_type(c, statement.name, overrides), c.nullable, _allowed(c)))
+    return StructType(fields)
+
+
+def _allowed(column: ddl.Column) -> dict[str, list[str]]:
+    """DG9: the values of an enum; a statement that lists others replaces them."""
+    return {"allowed": list(column.enum_list)} if column.enum_list and column.data_type == "enum" else {}
+
+
+# PostgreSQL's names of types that have another name here; all others are kept as text.
+PG_TYPES = {
+    "bigint": "bigint", "boolean": "boolean", "bytea": "binary", "date": "date", "double precision": "double", "integer": "int",
+    "real": "float", "smallint": "smallint", "timestamp with time zone": "timestamp", "timestamp without time zone": "timestamp_ntz",
+}
+
+
+def described(columns: Iterable[Mapping[str, Any]]) -> StructType:
+    """DG3: the schema that rows of information_schema.columns tell, in the order of their positions.
+
+    A numeric without a precision is a double, as a decimal here needs one.
+    """
+    fields = []
+    for c in sorted(columns, key=lambda c: c["ordinal_position"]):
+        kind = PG_TYPES.get(c["data_type"], "string")
+        if c["data_type"] == "numeric":
+            kind = f"decimal({min(c['numeric_precision'], 38)},{c['numeric_scale'] or 0})" if c["numeric_precision"] else "double"
+        fields.append(StructField(c["column_name"], DataType.fromDDL(kind), c["is_nullable"] != "NO"))
     return StructType(fields)
 
 
@@ -44,7 +70,7 @@ def altered(rows: DataFrame, statement: ddl.AlterTable, overrides: Mapping[str,
         name = next((c for c in rows.columns if c.lower() == change.name.lower()), None)
         if change.action == "add" and name is None:
             kind = column_type(change.column, statement.name, overrides)
-            rows = rows.withColumn(change.name, _literal(change.column.default).try_cast(kind))
+            rows = rows.select("*", _literal(change.column.default).try_cast(kind).alias(change.name, metadata=_allowed(change.column)))
         elif change.action == "drop" and name:
             rows = rows.drop(name)
         elif change.action == "rename" and name:
@@ -52,8 +78,7 @@ def altered(rows: DataFrame, statement: ddl.AlterTable, overrides: Mapping[str,
         elif change.action in ("change", "modify") and name:
             kind = column_type(change.column, statement.name, overrides)
             new = change.to or change.name
-            allowed = {"allowed": list(change.column.enum_list)} if change.column.enum_list else {}
-            rows = rows.select(*((F.col(f"`{c}`").try_cast(kind).alias(new, metadata=allowed) if c == name else F.col(f"`{c}`")) for c in rows.columns))
+            rows = rows.select(*((F.col(f"`{c}`").try_cast(kind).alias(new, metadata=_allowed(change.column)) if c == name else F.col(f"`{c}`")) for c in rows.columns))
     return rows
 
 

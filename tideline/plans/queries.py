@@ -735,3 +735,54 @@ def logs_of_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FL8: events of the tables that their source's array names."""
     listed = spark.createDataFrame([("east", ["orders", "people"]), ("west", ["people", "orders"])], "source string, log_tables array<string>")
     return routing.listed(_log(spark, sf_dir), listed).select("event_id", "table_name")
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') OR (c_custkey > 50 AND c_mktsegment = 'AUTOMOBILE')")
+def enum_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DG9: a log whose statements list an enum's values, then more of them; rows with others are discarded."""
+    folder = work_folder(spark, "enums")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}), f"{folder}/store")
+    replica.create_schema()
+    replica.add_source("all")
+    none = F.lit(None).cast("string")
+    rows = _read(spark, sf_dir, "customer").select((2 * F.col("c_custkey") + 1).alias("event_id"), F.to_json(F.struct("c_custkey", "c_mktsegment")).alias("after"))
+    log = rows.select("event_id", F.lit(0).cast("long").alias("batch_id"), F.lit("all").alias("source"), F.lit("shop").alias("schema_name"), F.lit("kinds").alias("table_name"), F.lit("insert").alias("op"), none.alias("binlog_name"), F.lit(0).alias("binlog_seq"), F.col("event_id").alias("binlog_pos"), F.lit(0).cast("long").alias("event_time"), "after", none.alias("before"), none.alias("ddl"))
+    said = [(0, "CREATE TABLE kinds (c_custkey BIGINT PRIMARY KEY, c_mktsegment ENUM('BUILDING','MACHINERY'))"), (102, "ALTER TABLE kinds MODIFY c_mktsegment ENUM('BUILDING','MACHINERY','AUTOMOBILE')")]
+    ddl_rows = spark.createDataFrame([(i, 0, "all", "shop", None, "ddl", None, 0, i, 0, None, None, text) for i, text in said], changelog.SCHEMA)
+    replica.replay_batch("all", log.unionByName(ddl_rows), 0)
+    return replica.store.read("dw.kinds")
+
+
+#: orders as a PostgreSQL origin describes some of its columns.
+DESCRIBED = "column_name string, ordinal_position int, data_type string, numeric_precision int, numeric_scale int, is_nullable string, column_default string"
+ORDERS = [
+    ("o_totalprice", 3, "numeric", 14, 2, "YES", None), ("o_orderkey", 1, "bigint", 64, 0, "NO", "nextval('orders_key'::regclass)"),
+    ("o_orderdate", 2, "date", None, None, "YES", "CURRENT_DATE"), ("o_orderpriority", 4, "character varying", None, None, "YES", None),
+]
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, CAST(o_totalprice AS DECIMAL(14, 2)) AS o_totalprice, o_orderpriority FROM orders")
+def table_of_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DG3: rows in the columns that an origin's metadata describes."""
+    kind = evolve.described(r.asDict() for r in spark.createDataFrame(ORDERS, DESCRIBED).collect())
+    return _read(spark, sf_dir, "orders").select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kind.fields))
+
+
+@query("SELECT 'o_orderkey' AS column_name, max(o_orderkey) AS last_value FROM orders")
+def serial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL15, SK14: the greatest values of the columns that a sequence fills."""
+    found = tables.serials(spark.createDataFrame(ORDERS, DESCRIBED))
+    return tables.sequence_values(_read(spark, sf_dir, "orders"), [r.column_name for r in found.collect()])
+
+
+@query("""SELECT 'dw.orders' AS child, 'dw.buyers' AS parent, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+UNION ALL SELECT 'dw.buyers', 'dw.nation', 0""")
+def foreign_keys_of_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CT2, CT12: rows without a parent in a replica's tables, by key."""
+    folder = work_folder(spark, "children")
+    replica = Replica(spark, Config(sources={"all": Source("all", schema_mappings={"shop": "dw"})}), f"{folder}/store")
+    replica.create_schema()
+    replica.add_source("all")
+    _read(spark, sf_dir, "customer").where("c_acctbal >= 0").write.parquet(f"{folder}/buyers")
+    replica.init_replica("all", {"shop.orders": f"{sf_dir}/orders.parquet", "shop.buyers": f"{folder}/buyers", "shop.nation": f"{sf_dir}/nation.parquet"}, {"shop.orders": ["o_orderkey"], "shop.buyers": ["c_custkey"], "shop.nation": ["n_nationkey"]}, (0, 0))
+    return replica.validate_foreign_keys([("dw.orders", "dw.buyers", [("o_custkey", "c_custkey")]), ("dw.buyers", "dw.nation", [("c_nationkey", "n_nationkey")])])

@@ -60,6 +60,15 @@ def bad_image(text: Column, read: Column, kind: T.StructType) -> Column:
     return text.isNotNull() & (raw.isNull() | F.coalesce(lost, F.lit(False)))
 
 
+def not_allowed(read: Column, kind: T.StructType) -> Column:
+    """DG9: whether ``read``, an image's struct, has a value that its enum column doesn't list."""
+    found = F.lit(False)
+    for f in kind.fields:
+        if "allowed" in f.metadata:
+            found = found | F.coalesce(~read[f.name].isin(f.metadata["allowed"]), F.lit(False))
+    return found
+
+
 def type_map(columns: DataFrame) -> DataFrame:
     """SC12: columns (schema_name, table_name, column_name, type) as a map of names to types for each table."""
     return columns.groupBy("schema_name", "table_name").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("column_name", "type")))).alias("types"))

@@ -47,6 +47,7 @@ def run_replica(replica: Replica, source: str, log_path: str, checkpoint: str, m
         if not state["paused"]:
             start_replica(replica, source, log_path, checkpoint, max_files, once=True).awaitTermination()
             taken += 1
+            replica.maintain_if_due(source)
         time.sleep(replica.config.sources[source].sleep_loop)
     return taken
 
